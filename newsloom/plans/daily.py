@@ -23,11 +23,16 @@ from ..sources.writers import append_run_log, with_run_date, write_digest
 
 def collect_messages(discord: DataFrame, telegram: DataFrame, sources: DataFrame | None = None,
                      as_of=None, hours: int = v.LOOKBACK_HOURS) -> DataFrame:
-    """Both platforms as one frame of common columns with ``low_value``; narrow work only."""
-    both = union_channels(
+    """Both platforms as one frame of common columns with ``low_value``; narrow work only.
+
+    With ``sources`` only registered channels are taken up, before any text is cleaned.
+    """
+    if sources is not None:
+        discord = registered_only(discord, sources, v.DISCORD)
+        telegram = registered_only(telegram, sources, v.TELEGRAM)
+    return union_channels(
         normalize_discord(discord, as_of, hours), normalize_telegram(telegram, as_of, hours)
     )
-    return both if sources is None else registered_only(both, sources)
 
 
 def digest(collected: DataFrame, labels: Callable[[DataFrame], DataFrame] | DataFrame,

@@ -71,31 +71,37 @@ def stamp(moment: str) -> str:
 
 # --- shared tables --------------------------------------------------------------------------------
 
+_EVENT = "e.user_id, json_extract_string(e.props, '$.k') AS k"
 POSTS = f"""
 posts AS (
-  SELECT e.event_id AS id, e.user_id, json_extract_string(e.props, '$.k') AS k, e.ts,
-    coalesce(d.source, 'feed_' || e.event_type) AS channel_id,
-    CASE WHEN e.event_type IN {strings(DISCORD_EVENTS)} THEN 'discord' ELSE 'telegram' END
-      AS platform,
-    e.event_type AS kind,
-    CASE
-      WHEN d.doc_id IS NOT NULL AND e.event_type = 'click' THEN d.text || ' see https://' ||
-        d.source || '.example.com/p/' || e.user_id || '). and www.foo.com,'
-      WHEN d.doc_id IS NOT NULL AND e.event_type = 'purchase' THEN d.text || ' 🎉🏽 soon▯ '
-      WHEN d.doc_id IS NOT NULL THEN d.text
-      WHEN e.event_type = 'signup' THEN {q(GREETING)}
-      WHEN e.event_type = 'view' THEN {q(SPACED_GREETING)}
-      WHEN e.event_type = 'click' THEN 'https://feed.example.com/p/' || e.user_id ||
-        ' www.foo.com/x'
-      WHEN e.event_type = 'error' THEN 'Exploit report: vulnerability in a bridge ' || e.props
-      ELSE {q(REPEATED)}
-    END AS text
-  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id)"""
+  SELECT e.event_id::VARCHAR AS id, {_EVENT}, e.ts, d.source AS channel_id,
+    'telegram' AS platform, e.event_type AS kind,
+    CASE e.event_type
+      WHEN 'click' THEN d.text || ' see https://' || d.source || '.example.com/p/' || e.user_id ||
+        '). and www.foo.com,'
+      WHEN 'purchase' THEN d.text || ' 🎉🏽 soon▯ '
+      ELSE d.text END AS text
+  FROM events e JOIN documents d ON d.doc_id = e.event_id
+  UNION ALL
+  SELECT c.conv_id || '.' || c.turn, {_EVENT}, e.ts + to_minutes(c.turn), 'chat_' || c.role,
+    'discord', e.event_type, c.text
+  FROM events e JOIN conversations c ON c.conv_id = e.event_id
+  UNION ALL
+  SELECT e.event_id::VARCHAR, {_EVENT}, e.ts, 'feed_' || e.event_type,
+    CASE WHEN e.event_type IN {strings(DISCORD_EVENTS)} THEN 'discord' ELSE 'telegram' END,
+    e.event_type,
+    CASE e.event_type
+      WHEN 'signup' THEN {q(GREETING)}
+      WHEN 'view' THEN {q(SPACED_GREETING)}
+      WHEN 'click' THEN 'https://feed.example.com/p/' || e.user_id || ' www.foo.com/x'
+      WHEN 'error' THEN 'Exploit report: vulnerability in a bridge ' || e.props
+      ELSE {q(REPEATED)} END
+  FROM events e)"""
 
 COLLECTED = f"""{POSTS},
 flagged AS (SELECT *, {low('text')} AS low_value FROM posts),
 collected AS (
-  SELECT id::VARCHAR AS id,
+  SELECT id,
     CASE WHEN NOT low_value THEN {cleaned('text')} END AS text,
     ts AS timestamp,
     CASE WHEN platform = 'discord' THEN 'user' || user_id || '#' || user_id
@@ -209,28 +215,34 @@ _ERROR_TEXT = f"CASE WHEN http_status IS NOT NULL THEN {_HTTP} ELSE error END"
 _FATAL = "(http_status IS NULL OR http_status IN (401, 403, 404))"
 
 _DIGEST_LABELS = """
-doc_labels AS (SELECT doc_id::VARCHAR AS id,
+doc_labels AS (SELECT doc_id::VARCHAR AS id, 'telegram' AS platform, source AS channel_id,
     CASE WHEN toxic = 1 THEN 0.75 ELSE 0.95 END::DECIMAL(3,2) AS score,
     CASE WHEN toxic = 1 THEN 'scam' ELSE 'news' END AS tags
-  FROM labels WHERE quality = 1)"""
+  FROM labels JOIN documents USING (doc_id) WHERE quality = 1)"""
 
 
 def _digest(source: str, extra: str = "") -> str:
     return f"""SELECT {_CANONICAL}, coalesce(l.score::VARCHAR, '') AS score,
     coalesce(l.tags, '') AS tags{extra}
-  FROM {source} m LEFT JOIN doc_labels l USING (id)"""
+  FROM {source} m LEFT JOIN doc_labels l USING (id, platform, channel_id)"""
 
 
 def oracle_sql() -> dict[str, str]:
     sql = {}
-    sql["sources_check"] = f"""WITH {POSTS},
-      registry AS (SELECT DISTINCT channel_id, platform FROM posts)
+    known = """registry AS (SELECT source AS channel_id, 'telegram' AS platform FROM documents
+      UNION SELECT 'chat_' || role, 'discord' FROM conversations)"""
+    sql["sources_check"] = """WITH faulty AS (SELECT DISTINCT source AS channel_id,
+        CASE lang WHEN 'en' THEN 'telegram' WHEN 'fr' THEN 'discord' ELSE lang END AS platform
+        FROM documents),
+      registry AS (SELECT ascii(platform)::BIGINT AS id, * FROM faulty)
       SELECT 'channel_id repeated' AS rule, channel_id AS value, count(*) AS n FROM registry
-      GROUP BY channel_id HAVING count(*) > 1"""
-    sql["channels_by_platform"] = f"""WITH {POSTS}
-      SELECT DISTINCT platform, channel_id FROM posts"""
-    sql["registered_messages"] = f"""WITH {POSTS},
-      registry AS (SELECT channel_id, max(platform) AS platform FROM posts GROUP BY channel_id)
+        GROUP BY channel_id HAVING count(*) > 1
+      UNION ALL SELECT 'id repeated', id::VARCHAR, count(*) FROM registry
+        GROUP BY id HAVING count(*) > 1
+      UNION ALL SELECT 'platform unknown', platform, count(*) FROM registry
+        WHERE platform NOT IN ('telegram', 'discord') GROUP BY platform"""
+    sql["channels_by_platform"] = f"WITH {known} SELECT platform, channel_id FROM registry"
+    sql["registered_messages"] = f"""WITH {POSTS}, {known}
       SELECT p.id, p.channel_id, p.platform FROM posts p SEMI JOIN registry USING
       (channel_id, platform)"""
     sql["lookback_24h"] = f"""WITH {POSTS}
@@ -238,16 +250,16 @@ def oracle_sql() -> dict[str, str]:
       WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOURS"""
     sql["low_value_drop"] = f"""WITH {POSTS}
       SELECT id, channel_id, platform, length(text) AS n_chars FROM posts WHERE NOT {low('text')}"""
-    sql["normalized_words"] = f"""WITH {POSTS} SELECT id, {words('text')} AS words FROM posts"""
-    sql["clean_text"] = f"WITH {POSTS} SELECT id, {cleaned('text')} AS text FROM posts"
-    sql["strip_urls"] = f"WITH {POSTS} SELECT id, {no_urls('text')} AS text FROM posts"
-    sql["strip_emoji"] = f"WITH {POSTS} SELECT id, {no_emoji('text')} AS text FROM posts"
-    sql["collapse_whitespace"] = f"WITH {POSTS} SELECT id, {collapse('text')} AS text FROM posts"
-    sql["repair_unicode"] = f"WITH {POSTS} SELECT id, {repaired('text')} AS text FROM posts"
+    sql["normalized_words"] = f"""WITH {POSTS} SELECT id, channel_id, {words('text')} AS words FROM posts"""
+    sql["clean_text"] = f"WITH {POSTS} SELECT id, channel_id, {cleaned('text')} AS text FROM posts"
+    sql["strip_urls"] = f"WITH {POSTS} SELECT id, channel_id, {no_urls('text')} AS text FROM posts"
+    sql["strip_emoji"] = f"WITH {POSTS} SELECT id, channel_id, {no_emoji('text')} AS text FROM posts"
+    sql["collapse_whitespace"] = f"WITH {POSTS} SELECT id, channel_id, {collapse('text')} AS text FROM posts"
+    sql["repair_unicode"] = f"WITH {POSTS} SELECT id, channel_id, {repaired('text')} AS text FROM posts"
     sql["clean_conversations"] = f"""SELECT conv_id, turn, {cleaned('text')} AS text,
       {low('text')} AS low_value FROM conversations"""
-    sql["links_from_text"] = f"""WITH {POSTS}, found AS (SELECT id, {links('text')} AS l FROM posts)
-      SELECT id, unnest(l) AS link, generate_subscripts(l, 1) - 1 AS pos FROM found"""
+    sql["links_from_text"] = f"""WITH {POSTS}, found AS (SELECT id, channel_id, {links('text')} AS l FROM posts)
+      SELECT id, channel_id, unnest(l) AS link, generate_subscripts(l, 1) - 1 AS pos FROM found"""
     sql["links_from_pages"] = f"""WITH found AS (SELECT page_id, {links('html')} AS l FROM pages)
       SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) - 1 AS pos FROM found"""
     for platform in v.PLATFORMS:

@@ -1,13 +1,15 @@
 """Chat posts derived from the benchmark tables.
 
-The tables have no chat data, so every event is read as one post: a post with a document carries
-the document's whole text, the others a short message after their event type. Some of these are
-greetings, some are links only, and one text repeats in very many posts, as in real channels.
+The tables have no chat data. Every row of ``events``, ``documents`` and ``conversations`` becomes
+one post. Documents are long Telegram posts and conversation turns Discord messages, both with
+their whole text and timed by the event of the same number. An event itself is a short post after
+its type: some types are greetings or links only, and each repeats one text or a few in very many
+posts, as in real channels.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as v
 
@@ -21,46 +23,73 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """``id, user_id, k, ts, channel_id, platform, text``, one row per event."""
-    events = load(spark, sf_dir, "events") if events is None else events
-    documents = load(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("event_id"), F.col("text").alias("doc"), "source"
+def _link(site: Column | str) -> Column:
+    return F.concat(F.lit("https://"), site, F.lit(".example.com/p/"), F.col("user_id").cast("string"))
+
+
+def _select(rows: DataFrame, post_id: Column, ts: Column, channel: Column, platform: str,
+            text: Column) -> DataFrame:
+    return rows.select(
+        post_id.cast("string").alias("id"), "user_id",
+        F.get_json_object("props", "$.k").alias("k"), ts.alias("ts"), channel.alias("channel_id"),
+        F.lit(platform).alias("platform"), F.col("event_type").alias("kind"), text.alias("text"),
     )
-    kind, doc = F.col("event_type"), F.col("doc")
-    channel = F.coalesce("source", F.concat(F.lit("feed_"), kind))
-    site = F.coalesce("source", F.lit("feed"))
-    link = F.concat(F.lit("https://"), site, F.lit(".example.com/p/"), F.col("user_id").cast("string"))
+
+
+def _short_posts(events: DataFrame, platform: str) -> DataFrame:
+    kind = F.col("event_type")
+    on_discord = kind.isin(*DISCORD_EVENTS)
     text = (
-        F.when(doc.isNotNull() & (kind == "click"),
-               F.concat(doc, F.lit(" see "), link, F.lit("). and www.foo.com,")))
-        .when(doc.isNotNull() & (kind == "purchase"), F.concat(doc, F.lit(" 🎉🏽 soon▯ ")))
-        .when(doc.isNotNull(), doc)
-        .when(kind == "signup", F.lit(GREETING))
+        F.when(kind == "signup", F.lit(GREETING))
         .when(kind == "view", F.lit(SPACED_GREETING))
-        .when(kind == "click", F.concat(link, F.lit(" www.foo.com/x")))
+        .when(kind == "click", F.concat(_link(F.lit("feed")), F.lit(" www.foo.com/x")))
         .when(kind == "error",
               F.concat(F.lit("Exploit report: vulnerability in a bridge "), F.col("props")))
         .otherwise(F.lit(REPEATED))
     )
-    return events.join(documents, "event_id", "left").select(
-        F.col("event_id").alias("id"),
-        "user_id",
-        F.get_json_object("props", "$.k").alias("k"),
-        "ts",
-        channel.alias("channel_id"),
-        F.when(kind.isin(*DISCORD_EVENTS), v.DISCORD).otherwise(v.TELEGRAM).alias("platform"),
-        kind.alias("kind"),
-        text.alias("text"),
+    rows = events.where(on_discord if platform == v.DISCORD else ~on_discord)
+    return _select(rows, F.col("event_id"), F.col("ts"), F.concat(F.lit("feed_"), kind), platform, text)
+
+
+def telegram_posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """``id, user_id, k, ts, channel_id, platform, kind, text``: documents and short posts."""
+    events = load(spark, sf_dir, "events") if events is None else events
+    documents = load(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("event_id"), "source", F.col("text").alias("doc"))
+    kind = F.col("event_type")
+    text = (
+        F.when(kind == "click", F.concat("doc", F.lit(" see "), _link("source"),
+                                         F.lit("). and www.foo.com,")))
+        .when(kind == "purchase", F.concat("doc", F.lit(" 🎉🏽 soon▯ ")))
+        .otherwise(F.col("doc"))
+    )
+    long = _select(events.join(documents, "event_id"), F.col("event_id"), F.col("ts"),
+                   F.col("source"), v.TELEGRAM, text)
+    return long.unionByName(_short_posts(events, v.TELEGRAM))
+
+
+def discord_posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The same columns: conversation turns, a minute apart, and short posts."""
+    events = load(spark, sf_dir, "events") if events is None else events
+    turns = load(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "event_id")
+    chat = _select(
+        events.join(turns, "event_id"), F.concat_ws(".", "event_id", "turn"),
+        F.col("ts") + F.make_dt_interval(mins=F.col("turn").cast("int")),
+        F.concat(F.lit("chat_"), "role"), v.DISCORD, F.col("text"),
     )
+    return chat.unionByName(_short_posts(events, v.DISCORD))
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telegram_posts(spark, sf_dir).unionByName(discord_posts(spark, sf_dir))
 
 
 def raw_discord(rows: DataFrame) -> DataFrame:
     """Discord posts in the landed shape."""
     url = F.concat(F.lit(" https://cdn.example.com/"), F.col("k"), F.lit(" "))
-    return rows.where(F.col("platform") == v.DISCORD).select(
+    return rows.select(
         "channel_id",
-        F.col("id").cast("string").alias("id"),
+        "id",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         F.col("text").alias("content"),
         F.struct(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("username"),
@@ -73,9 +102,9 @@ def raw_telegram(rows: DataFrame) -> DataFrame:
     """Telegram posts in the landed shape. Views are channel posts without a sender."""
     url = F.concat(F.lit(" https://t.example.com/"), F.col("k"))
     user = F.struct(F.lit("user").alias("kind"), F.col("user_id").alias("user_id"))
-    return rows.where(F.col("platform") == v.TELEGRAM).select(
+    return rows.select(
         "channel_id",
-        "id",
+        F.col("id").cast("bigint").alias("id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date"),
         "text",
         F.col("text").alias("message"),
@@ -87,17 +116,25 @@ def raw_telegram(rows: DataFrame) -> DataFrame:
     )
 
 
-def registry(rows: DataFrame) -> DataFrame:
-    """Every channel of the posts with each platform it appears on."""
-    return rows.select("channel_id", "platform").distinct().select(
-        F.xxhash64("channel_id", "platform").alias("id"), "channel_id", "platform",
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The channels of the long posts and of the conversations; the short posts' channels are not
+    registered."""
+    sources = load(spark, sf_dir, "documents").select(
+        F.col("source").alias("channel_id"), F.lit(v.TELEGRAM).alias("platform"))
+    chats = load(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("chat_"), "role").alias("channel_id"), F.lit(v.DISCORD).alias("platform"))
+    return sources.unionByName(chats).distinct()
+
+
+def faulty_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entry per source and language: sources repeat, and two languages stand for a platform
+    while the others name none."""
+    lang = F.col("lang")
+    return load(spark, sf_dir, "documents").select(
+        F.col("source").alias("channel_id"),
+        F.when(lang == "en", v.TELEGRAM).when(lang == "fr", v.DISCORD).otherwise(lang)
+        .alias("platform"),
+    ).distinct().select(
+        F.ascii("platform").cast("bigint").alias("id"), "channel_id", "platform",
         F.concat(F.lit("@"), F.col("channel_id")).alias("channel_name"),
     )
-
-
-def clean_registry(rows: DataFrame) -> DataFrame:
-    """One row per channel: the platform that comes last in the alphabet."""
-    return registry(rows).groupBy("channel_id").agg(
-        F.max("platform").alias("platform"),
-        F.max(F.concat(F.lit("@"), F.col("channel_id"))).alias("channel_name"),
-    )

@@ -20,7 +20,10 @@ from ..sources.telegram import normalize_telegram
 from ..sources.writers import append_run_log, write_digest
 from ..streaming.incremental import current_messages, incremental_digest as keep_current
 from . import daily
-from .posts import clean_registry, load, posts, raw_discord, raw_telegram, registry
+from .posts import (
+    discord_posts, faulty_registry, load, posts, raw_discord, raw_telegram, registry,
+    telegram_posts,
+)
 
 AS_OF = "2024-01-31 00:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +48,8 @@ def queries() -> dict[str, Query]:
 # --- shared frames --------------------------------------------------------------------------------
 
 def _collected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = posts(spark, sf_dir)
-    return daily.collect_messages(raw_discord(rows), raw_telegram(rows))
+    return daily.collect_messages(
+        raw_discord(discord_posts(spark, sf_dir)), raw_telegram(telegram_posts(spark, sf_dir)))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,13 +73,15 @@ def _shown_digest(df: DataFrame, *extra: Column | str) -> DataFrame:
 
 def _with_text(spark: SparkSession, sf_dir: str, fn: Callable[[Column], Column],
                name: str = "text") -> DataFrame:
-    return posts(spark, sf_dir).select("id", fn(F.col("text")).alias(name))
+    return posts(spark, sf_dir).select("id", "channel_id", fn(F.col("text")).alias(name))
 
 
 def _doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     toxic = F.col("toxic") == 1
-    return load(spark, sf_dir, "labels").where("quality = 1").select(
-        F.col("doc_id").cast("string").alias("id"),
+    sources = load(spark, sf_dir, "documents").select("doc_id", "source")
+    return load(spark, sf_dir, "labels").where("quality = 1").join(sources, "doc_id").select(
+        F.col("doc_id").cast("string").alias("id"), F.lit(v.TELEGRAM).alias("platform"),
+        F.col("source").alias("channel_id"),
         F.when(toxic, "0.75").otherwise("0.95").cast("decimal(3,2)").alias("score"),
         F.array(F.when(toxic, "scam").otherwise("news")).alias("tags"),
     )
@@ -84,7 +89,7 @@ def _doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _digest(spark: SparkSession, sf_dir: str, collected: DataFrame, by=()) -> DataFrame:
     messages = dedup.dedup_latest(filters.kept(collected), by=by)
-    return labelling.join_labels(messages, _doc_labels(spark, sf_dir), keys=("id",))
+    return labelling.join_labels(messages, _doc_labels(spark, sf_dir))
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,20 +144,24 @@ def _errors(rows: DataFrame) -> DataFrame:
 
 @query
 def sources_check(spark, sf_dir):
-    return reg.check_sources(registry(posts(spark, sf_dir)))
+    return reg.check_sources(faulty_registry(spark, sf_dir))
 
 
 @query
 def channels_by_platform(spark, sf_dir):
-    known = registry(posts(spark, sf_dir))
+    known = registry(spark, sf_dir)
     parts = (reg.channels_for(known, p).withColumn("platform", F.lit(p)) for p in v.PLATFORMS)
     return dedup.union_channels(*parts)
 
 
 @query
 def registered_messages(spark, sf_dir):
-    rows = posts(spark, sf_dir)
-    return reg.registered_only(rows, clean_registry(rows)).select("id", "channel_id", "platform")
+    known = registry(spark, sf_dir)
+    rows = dedup.union_channels(
+        reg.registered_only(telegram_posts(spark, sf_dir), known, v.TELEGRAM),
+        reg.registered_only(discord_posts(spark, sf_dir), known, v.DISCORD),
+    )
+    return rows.select("id", "channel_id", "platform")
 
 
 @query
@@ -209,7 +218,7 @@ def clean_conversations(spark, sf_dir):
 @query
 def links_from_text(spark, sf_dir):
     return posts(spark, sf_dir).select(
-        "id", F.posexplode(ln.links_from_text(F.col("text"))).alias("pos", "link"))
+        "id", "channel_id", F.posexplode(ln.links_from_text(F.col("text"))).alias("pos", "link"))
 
 
 @query
@@ -226,12 +235,12 @@ def _shown_platform(df: DataFrame) -> DataFrame:
 
 @query
 def telegram_messages(spark, sf_dir):
-    return _shown_platform(normalize_telegram(raw_telegram(posts(spark, sf_dir))))
+    return _shown_platform(normalize_telegram(raw_telegram(telegram_posts(spark, sf_dir))))
 
 
 @query
 def discord_messages(spark, sf_dir):
-    return _shown_platform(normalize_discord(raw_discord(posts(spark, sf_dir))))
+    return _shown_platform(normalize_discord(raw_discord(discord_posts(spark, sf_dir))))
 
 
 @query
@@ -390,8 +399,9 @@ def digest_by_day(spark, sf_dir):
 
 @query
 def digest_24h(spark, sf_dir):
-    rows = filters.lookback(posts(spark, sf_dir), AS_OF, column="ts")
-    collected = daily.collect_messages(raw_discord(rows), raw_telegram(rows), as_of=AS_OF)
+    discord = filters.lookback(discord_posts(spark, sf_dir), AS_OF, column="ts")
+    telegram = filters.lookback(telegram_posts(spark, sf_dir), AS_OF, column="ts")
+    collected = daily.collect_messages(raw_discord(discord), raw_telegram(telegram), as_of=AS_OF)
     return _shown_digest(_digest(spark, sf_dir, collected))
 
 
@@ -419,7 +429,8 @@ def incremental_digest(spark, sf_dir):
     path = new_table_path(spark, "stream")
     source = spark.readStream.schema(load(spark, sf_dir, "events").schema).option(
         "pathGlobFilter", "events.parquet").parquet(sf_dir)
-    rows = posts(spark, sf_dir, events=source)
-    collected = daily.collect_messages(raw_discord(rows), raw_telegram(rows))
+    collected = daily.collect_messages(
+        raw_discord(discord_posts(spark, sf_dir, source)),
+        raw_telegram(telegram_posts(spark, sf_dir, source)))
     keep_current(collected, f"{path}/table", f"{path}/state").awaitTermination()
     return _shown(current_messages(spark, f"{path}/table"))

@@ -1,61 +1,70 @@
-"""Fixed schemas at every boundary."""
+"""Fixed schemas at every boundary. Every field may be null: checks are queries, not schemas."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DecimalType, IntegerType, LongType, StringType, StructType,
+    TimestampType,
+)
+
+TEXT, BIGINT = StringType(), LongType()
+TEXTS = ArrayType(TEXT)
+
+
+def record(**fields: DataType) -> StructType:
+    schema = StructType()
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+    return schema
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def extend(schema: StructType, **fields: DataType) -> StructType:
+    return StructType(schema.fields + record(**fields).fields)
+
+
+def columns(schema: StructType) -> list[str]:
+    return schema.fieldNames()
 
 
-SOURCES = _ddl("id BIGINT, channel_id STRING, platform STRING, channel_name STRING")
+SOURCES = record(id=BIGINT, channel_id=TEXT, platform=TEXT, channel_name=TEXT)
 
-RAW_DISCORD = _ddl(
-    "channel_id STRING, id STRING, timestamp STRING, content STRING, "
-    "author STRUCT<username: STRING, id: STRING>, embeds ARRAY<STRUCT<url: STRING>>"
+RAW_DISCORD = record(
+    channel_id=TEXT, id=TEXT, timestamp=TEXT, content=TEXT, author=record(username=TEXT, id=TEXT),
+    embeds=ArrayType(record(url=TEXT)),
 )
 
-RAW_TELEGRAM = _ddl(
-    "channel_id STRING, id BIGINT, date STRING, text STRING, message STRING, "
-    "from_id STRUCT<kind: STRING, user_id: BIGINT>, peer_id STRUCT<channel_id: BIGINT>, "
-    "entities ARRAY<STRUCT<kind: STRING, url: STRING>>"
+RAW_TELEGRAM = record(
+    channel_id=TEXT, id=BIGINT, date=TEXT, text=TEXT, message=TEXT,
+    from_id=record(kind=TEXT, user_id=BIGINT), peer_id=record(channel_id=BIGINT),
+    entities=ArrayType(record(kind=TEXT, url=TEXT)),
 )
 
-MESSAGES = _ddl(
-    "id STRING, text STRING, timestamp TIMESTAMP, author STRING, channel_id STRING, "
-    "platform STRING, links ARRAY<STRING>"
+MESSAGES = record(
+    id=TEXT, text=TEXT, timestamp=TimestampType(), author=TEXT, channel_id=TEXT, platform=TEXT,
+    links=TEXTS,
 )
 
 # Messages of the look-back window before greetings are dropped.
-COLLECTED = _ddl(
-    "id STRING, text STRING, timestamp TIMESTAMP, author STRING, channel_id STRING, "
-    "platform STRING, links ARRAY<STRING>, low_value BOOLEAN"
-)
+COLLECTED = extend(MESSAGES, low_value=BooleanType())
 
-LABEL_ITEMS = _ddl(
-    "id STRING, text STRING, platform STRING, channel_id STRING, links ARRAY<STRING>"
-)
+LABEL_ITEMS = record(id=TEXT, text=TEXT, platform=TEXT, channel_id=TEXT, links=TEXTS)
 
-LABELS = _ddl(
-    "id STRING, platform STRING, channel_id STRING, keep STRING, score STRING, tags ARRAY<STRING>"
-)
+LABELS = record(id=TEXT, platform=TEXT, channel_id=TEXT, keep=TEXT, score=TEXT, tags=TEXTS)
 
-LABEL_RESPONSES = _ddl("batch_id BIGINT, attempt INT, body STRING")
+LABEL_RESPONSES = record(batch_id=BIGINT, attempt=IntegerType(), body=TEXT)
 
-DIGEST = _ddl(
-    "id STRING, text STRING, timestamp TIMESTAMP, author STRING, channel_id STRING, "
-    "platform STRING, links ARRAY<STRING>, score DECIMAL(3,2), tags ARRAY<STRING>"
-)
+DIGEST = extend(MESSAGES, score=DecimalType(3, 2), tags=TEXTS)
 
-RUN_STATS = _ddl(
-    "channel_id STRING, platform STRING, pulled BIGINT, kept BIGINT, success BOOLEAN, error STRING"
+# Digests of earlier runs as found in JSON files.
+ARCHIVE = record(
+    id=TEXT, text=TEXT, timestamp=TEXT, author=TEXT, channel_id=TEXT, platform=TEXT, links=TEXTS,
+    score=TEXT, tags=TEXTS,
 )
 
-LOAD_ERRORS = _ddl("channel_id STRING, platform STRING, http_status INT, error STRING")
-
-ALERTS = _ddl("kind STRING, channel_id STRING, platform STRING, message STRING")
+RUN_STATS = record(
+    channel_id=TEXT, platform=TEXT, pulled=BIGINT, kept=BIGINT, success=BooleanType(), error=TEXT,
+)
 
+LOAD_ERRORS = record(channel_id=TEXT, platform=TEXT, http_status=IntegerType(), error=TEXT)
 
-def columns(schema: StructType) -> list[str]:
-    return schema.fieldNames()
+ALERTS = record(kind=TEXT, channel_id=TEXT, platform=TEXT, message=TEXT)

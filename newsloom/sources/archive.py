@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.links import links_or_empty
 from ..functions.times import parse_utc
-
-_ARCHIVE = StructType.fromDDL(
-    "id STRING, text STRING, timestamp STRING, author STRING, channel_id STRING, platform STRING, "
-    "links ARRAY<STRING>, score STRING, tags ARRAY<STRING>"
-)
+from ..schemas import ARCHIVE
 
 
 def read_digest(spark: SparkSession, path: str) -> DataFrame:
     """A dated JSON array per file. A bare ``NaN`` in score, tags or author means unlabelled and
     reads as null; scores such as ``0.9`` and ``0.95`` get one scale."""
-    raw = spark.read.schema(_ARCHIVE).option("multiLine", True).json(path)
+    raw = spark.read.schema(ARCHIVE).option("multiLine", True).json(path)
 
     def present(name: str):
         return F.nullif(F.col(name), F.lit("NaN"))

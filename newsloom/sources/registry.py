@@ -54,12 +54,11 @@ def channels_for(sources: DataFrame, platform: str) -> DataFrame:
     return sources.where(F.col("platform") == platform).select("channel_id")
 
 
-def registered_only(messages: DataFrame, sources: DataFrame) -> DataFrame:
-    """Messages of registered channels.
+def registered_only(messages: DataFrame, sources: DataFrame, platform: str) -> DataFrame:
+    """Messages of the channels registered for their platform.
 
-    No broadcast is forced: Spark broadcasts the registry while its size is under
+    No broadcast is forced: Spark broadcasts the channel ids while their size is under
     ``autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive execution splits the
     partition of a dominant channel.
     """
-    keys = ["channel_id", "platform"]
-    return messages.join(sources.select(*keys), keys, "left_semi")
+    return messages.join(channels_for(sources, platform), "channel_id", "left_semi")

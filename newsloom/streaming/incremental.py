@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType
 
 from ..functions import fixed as v
 from ..operators.dedup import dedup_latest
 from ..operators.filters import as_timestamp, kept, lookback
-from ..schemas import MESSAGES, RAW_DISCORD, RAW_TELEGRAM, columns
+from ..schemas import MESSAGES, RAW_DISCORD, RAW_TELEGRAM, columns, extend
 from ..sources.discord import normalize_discord
 from ..sources.telegram import normalize_telegram
 
@@ -59,7 +59,7 @@ def current_messages(spark: SparkSession, table: str, as_of=None,
 
     The window also bounds ``run_date``, so only the days it touches are read.
     """
-    schema = StructType(MESSAGES.fields).add("batch_id", "long").add("run_date", "date")
+    schema = extend(MESSAGES, batch_id=LongType(), run_date=DateType())
     rows = spark.read.schema(schema).parquet(table)
     if as_of is not None:
         first = as_timestamp(as_of) - F.make_interval(hours=F.lit(hours))
