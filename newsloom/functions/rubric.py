@@ -6,6 +6,8 @@ Its labels are its own: they are not, and do not try to be, those of any model.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 from . import fixed as v
@@ -23,24 +25,27 @@ DEFAULT_RUBRIC = {
 }
 
 
-def word_pattern(word: str) -> str:
-    stem = word.removesuffix("*").replace(" ", r"\x20").replace("-", r"\x2D")
-    return rf"\b{stem}" + ("" if word.endswith("*") else r"\b")
+_EDGE = rf"[^{v.WORD}]"
 
 
-def topic_pattern(words: tuple[str, ...]) -> str:
-    return "(?i)(?:" + "|".join(word_pattern(w) for w in words) + ")"
+def words_pattern(words: Iterable[str]) -> str:
+    """One pattern for any of the words, case ignored. Written without look-around or ``\\b``, whose
+    meaning differs between engines."""
+    ends = (w.removesuffix("*") + ("" if w.endswith("*") else f"(?:{_EDGE}|$)") for w in words)
+    return f"(?i)(?:^|{_EDGE})(?:{'|'.join(ends)})"
 
 
 def topic_tags(text: Column, links: Column | None = None, rubric=DEFAULT_RUBRIC) -> Column:
-    """Topics with a hit in the text or the links, in the order of the vocabulary."""
+    """Topics with a hit in the text or the links, in the order of the vocabulary.
+
+    One pattern over all words comes first: text without any hit is read once, not once per topic.
+    """
     where = text if links is None else F.concat_ws(" ", text, links)
-    flags = [
-        F.when(where.rlike(topic_pattern(rubric[topic])), F.lit(topic))
-        for topic in v.TOPICS
-        if rubric.get(topic)
-    ]
-    return F.array_compact(F.array(*flags))
+    topics = [t for t in v.TOPICS if rubric.get(t)]
+    flags = [F.when(where.rlike(words_pattern(rubric[t])), F.lit(t)) for t in topics]
+    some = where.rlike(words_pattern(w for t in topics for w in rubric[t]))
+    none = F.array().cast("array<string>")
+    return F.when(some, F.array_compact(F.array(*flags))).otherwise(none)
 
 
 def topic_score(tags: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import fixed as v
-from ..functions.rubric import DEFAULT_RUBRIC, topic_pattern
+from ..functions.rubric import DEFAULT_RUBRIC, words_pattern
 from .posts import DISCORD_EVENTS, GREETING, REPEATED, SPACED_GREETING
 
 
@@ -171,7 +171,7 @@ labelled AS (
 
 def rubric_tags(where: str) -> str:
     flags = ", ".join(
-        f"CASE WHEN regexp_matches({where}, {q(topic_pattern(DEFAULT_RUBRIC[t]))}) THEN {q(t)} END"
+        f"CASE WHEN regexp_matches({where}, {q(words_pattern(DEFAULT_RUBRIC[t]))}) THEN {q(t)} END"
         for t in v.TOPICS
     )
     return f"list_filter([{flags}], lambda t: t IS NOT NULL)"

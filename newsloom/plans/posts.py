@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as v
+from ..session import spread
 
 GREETING = "GM!! 🚀"
 SPACED_GREETING = "selamat   pagi."
@@ -20,7 +21,7 @@ DISCORD_EVENTS = ("signup", "error")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def _link(site: Column | str) -> Column:
@@ -81,7 +82,8 @@ def discord_posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telegram_posts(spark, sf_dir).unionByName(discord_posts(spark, sf_dir))
+    events = load(spark, sf_dir, "events")
+    return telegram_posts(spark, sf_dir, events).unionByName(discord_posts(spark, sf_dir, events))
 
 
 def raw_discord(rows: DataFrame) -> DataFrame:

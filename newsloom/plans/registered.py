@@ -48,8 +48,13 @@ def queries() -> dict[str, Query]:
 # --- shared frames --------------------------------------------------------------------------------
 
 def _collected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collect(spark, sf_dir, load(spark, sf_dir, "events"))
+
+
+def _collect(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
     return daily.collect_messages(
-        raw_discord(discord_posts(spark, sf_dir)), raw_telegram(telegram_posts(spark, sf_dir)))
+        raw_discord(discord_posts(spark, sf_dir, events)),
+        raw_telegram(telegram_posts(spark, sf_dir, events)))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,8 +434,6 @@ def incremental_digest(spark, sf_dir):
     path = new_table_path(spark, "stream")
     source = spark.readStream.schema(load(spark, sf_dir, "events").schema).option(
         "pathGlobFilter", "events.parquet").parquet(sf_dir)
-    collected = daily.collect_messages(
-        raw_discord(discord_posts(spark, sf_dir, source)),
-        raw_telegram(telegram_posts(spark, sf_dir, source)))
+    collected = _collect(spark, sf_dir, source)
     keep_current(collected, f"{path}/table", f"{path}/state").awaitTermination()
     return _shown(current_messages(spark, f"{path}/table"))

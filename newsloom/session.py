@@ -61,3 +61,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = new_table_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Hand the rows of a table with fewer splits than cores to all cores.
+
+    For small files only: a table with enough splits comes back as it is, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, table.columns[0])
