@@ -7,18 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed as v
+from ..functions.rubric import keep_rule, topic_score, topic_tags
 from ..functions.times import run_day
 from ..operators.alerts import run_alerts
 from ..operators.dedup import dedup_latest, union_channels
 from ..operators.filters import kept
-from ..operators.labelling import join_labels, kept_labels, label_input, rubric_labels
-from ..operators.stats import channel_stats, run_totals, with_failures
+from ..operators.labelling import LABEL_KEYS, join_labels, label_input, label_with
+from ..operators.stats import channel_stats, with_failures
 from ..schemas import DIGEST, LOAD_ERRORS, columns
 from ..session import materialize
 from ..sources.discord import normalize_discord
 from ..sources.registry import registered_only
 from ..sources.telegram import normalize_telegram
-from ..sources.writers import append_run_log, with_run_date, write_digest
+from ..sources.writers import append_run_log, write_digest
 
 
 def collect_messages(discord: DataFrame, telegram: DataFrame, sources: DataFrame | None = None,
@@ -35,16 +36,43 @@ def collect_messages(discord: DataFrame, telegram: DataFrame, sources: DataFrame
     )
 
 
-def digest(collected: DataFrame, labels: Callable[[DataFrame], DataFrame] | DataFrame,
-           by: tuple[str, ...] = (), keep_empty: bool = False) -> DataFrame:
-    """Deduplicated messages with their kept labels.
+Labeller = Callable[[DataFrame], DataFrame]
 
-    ``labels`` is a frame of kept labels or a function from messages to one. ``by`` limits the
-    comparison of texts, as ``("run_date",)`` does for many days in one job.
+
+def rubric_labeller(messages: DataFrame) -> DataFrame:
+    """Score and tags by the keyword rubric, as columns of the same rows: no join, no shuffle."""
+    tagged = messages.withColumn("_tags", topic_tags(F.col("text"), F.col("links")))
+    scored = tagged.withColumn("_score", topic_score(F.col("_tags")))
+    keep = keep_rule(F.col("_score"))
+    return scored.select(
+        *messages.columns, F.when(keep, F.col("_score")).alias("score"),
+        F.when(keep, F.col("_tags")).alias("tags"),
+    )
+
+
+def function_labeller(fn: Callable, batch_size: int = v.DAILY_BATCH_SIZE, **options) -> Labeller:
+    """Score and tags by a labelling function, see ``label_with``.
+
+    Messages and labels are each written once before they are joined, so that no message is
+    deduplicated and no batch labelled a second time.
     """
-    messages = dedup_latest(kept(collected), by=by, keep_empty=keep_empty)
-    found = labels(messages) if callable(labels) else labels
-    return join_labels(messages, found)
+    def label(messages: DataFrame) -> DataFrame:
+        saved = materialize(messages, "messages")
+        return join_labels(saved, materialize(label_with(saved, fn, batch_size, **options), "labels"))
+
+    return label
+
+
+def known_labels(labels: DataFrame, keys=LABEL_KEYS) -> Labeller:
+    """Score and tags from a frame of kept labels."""
+    return lambda messages: join_labels(messages, labels, keys)
+
+
+def digest(collected: DataFrame, labeller: Labeller = rubric_labeller, by: tuple[str, ...] = (),
+           keep_empty: bool = False) -> DataFrame:
+    """Deduplicated messages with score and tags. ``by`` limits the comparison of texts, as
+    ``("run_date",)`` does for many days in one job."""
+    return labeller(dedup_latest(kept(collected), by=by, keep_empty=keep_empty))
 
 
 def with_run_days(collected: DataFrame) -> DataFrame:
@@ -53,40 +81,28 @@ def with_run_days(collected: DataFrame) -> DataFrame:
     return collected.withColumn("run_date", run_day(F.col("timestamp")))
 
 
-def label_by_rubric(messages: DataFrame) -> DataFrame:
-    return kept_labels(rubric_labels(label_input(messages)))
-
-
 def daily_digest(discord: DataFrame, telegram: DataFrame, sources: DataFrame | None, as_of,
-                 labels: Callable[[DataFrame], DataFrame] | DataFrame = label_by_rubric,
-                 hours: int = v.LOOKBACK_HOURS, keep_empty: bool = False) -> DataFrame:
-    """The digest of one run as a lazy frame."""
+                 labeller: Labeller = rubric_labeller, hours: int = v.LOOKBACK_HOURS,
+                 keep_empty: bool = False) -> DataFrame:
+    """The digest of one run."""
     collected = collect_messages(discord, telegram, sources, as_of, hours)
-    return digest(collected, labels, keep_empty=keep_empty).select(*columns(DIGEST))
+    return digest(collected, labeller, keep_empty=keep_empty).select(*columns(DIGEST))
 
 
 def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of, run_date,
-              out: str, labels: Callable[[DataFrame], DataFrame] = label_by_rubric,
-              errors: DataFrame | None = None, hours: int = v.LOOKBACK_HOURS) -> DataFrame:
+              out: str, labeller: Labeller = rubric_labeller, errors: DataFrame | None = None,
+              hours: int = v.LOOKBACK_HOURS) -> DataFrame:
     """Run and write everything: ``out/digest``, ``out/run_log`` by date; returns the alerts.
 
-    Cleaned messages, and the labels, are each written once to the shared folder: the counts, the
-    digest and the alerts read them from there, so no text is cleaned and no batch is labelled
-    twice, also when executors are lost.
+    Cleaned messages are written once to the shared folder. Counts, digest and alerts read them
+    from there, each only the columns it needs, so no text is cleaned twice, also when executors
+    are lost.
     """
-    spark = discord.sparkSession
     if errors is None:
-        errors = spark.createDataFrame([], LOAD_ERRORS)
+        errors = discord.sparkSession.createDataFrame([], LOAD_ERRORS)
     collected = materialize(collect_messages(discord, telegram, sources, as_of, hours), "collected")
-    messages = materialize(dedup_latest(kept(collected)), "messages")
-    found = materialize(labels(messages), "labels")
-    write_digest(join_labels(messages, found).select(*columns(DIGEST)), f"{out}/digest", run_date)
+    write_digest(digest(collected, labeller).select(*columns(DIGEST)), f"{out}/digest", run_date)
     stats = with_failures(channel_stats(collected, sources), errors)
     append_run_log(stats, f"{out}/run_log", run_date)
+    messages = kept(collected)
     return run_alerts(errors, messages, label_input(messages))
-
-
-__all__ = [
-    "collect_messages", "daily_digest", "digest", "label_by_rubric", "run_daily", "run_totals",
-    "with_run_date", "with_run_days",
-]

@@ -318,6 +318,9 @@ def oracle_sql() -> dict[str, str]:
     sql["topic_rubric"] = f"""WITH {RUBRIC} SELECT id, platform, channel_id,
       {joined('tags')} AS tags, score::VARCHAR AS score,
       CASE WHEN score >= 0.70 THEN 'true' ELSE 'false' END AS keep FROM scored"""
+    sql["digest_by_rubric"] = f"""WITH {RUBRIC} SELECT {_CANONICAL},
+      CASE WHEN score >= 0.70 THEN score::VARCHAR ELSE '' END AS score,
+      CASE WHEN score >= 0.70 THEN {joined('tags')} ELSE '' END AS tags FROM scored"""
     sql["tag_check"] = f"""WITH {RUBRIC}, used AS (SELECT id, channel_id,
       unnest(list_append(tags, platform)) AS tag FROM scored)
       SELECT id, channel_id, tag FROM used WHERE tag NOT IN {strings(v.TOPICS)}"""

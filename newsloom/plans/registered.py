@@ -93,8 +93,7 @@ def _doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _digest(spark: SparkSession, sf_dir: str, collected: DataFrame, by=()) -> DataFrame:
-    messages = dedup.dedup_latest(filters.kept(collected), by=by)
-    return labelling.join_labels(messages, _doc_labels(spark, sf_dir))
+    return daily.digest(collected, daily.known_labels(_doc_labels(spark, sf_dir)), by=by)
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,6 +387,11 @@ def label_with_fn(spark, sf_dir):
 
 # --- digests --------------------------------------------------------------------------------------
 
+@query
+def digest_by_rubric(spark, sf_dir):
+    return _shown_digest(daily.digest(_collected(spark, sf_dir)))
+
+
 @query
 def digest(spark, sf_dir):
     return _shown_digest(_digest(spark, sf_dir, _collected(spark, sf_dir)))

@@ -16,11 +16,12 @@ def with_run_date(df: DataFrame, run_date) -> DataFrame:
 def write_digest(df: DataFrame, path: str, run_date=None, fmt: str = "parquet") -> None:
     """Write a digest partitioned by ``run_date``.
 
-    A rerun replaces the dates it holds and no others. Without ``run_date`` the frame brings the
-    column itself, so one job can write many days. Rows stay in the partitions they are in: no
-    shuffle is added, and ``maxRecordsPerFile`` bounds the files.
+    A rerun replaces the dates it holds and no others. For one date rows stay in the partitions they
+    are in, without a shuffle. Without ``run_date`` the frame brings the column itself and may hold
+    many days: rows are then brought together by day, where adaptive execution splits large days and
+    joins small ones, so that not every task writes a file for every day.
     """
-    dated = df if run_date is None else with_run_date(df, run_date)
+    dated = df.hint("rebalance", "run_date") if run_date is None else with_run_date(df, run_date)
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from newsloom.functions import fixed as v
 from newsloom.operators.alerts import run_alerts
 from newsloom.operators.dedup import dedup_latest
+from newsloom.operators.labelling import join_labels
 from newsloom.operators.stats import channel_stats, observe_count, run_totals, with_failures
-from newsloom.plans.daily import collect_messages, daily_digest, run_daily
+from newsloom.plans.daily import collect_messages, daily_digest, function_labeller, run_daily
 from newsloom.schemas import DIGEST, LOAD_ERRORS, RAW_DISCORD, RAW_TELEGRAM, columns
 from newsloom.streaming.incremental import current_messages, incremental_digest, stream_landed
 from tests.test_sources import discord_message, telegram_message
@@ -62,6 +63,15 @@ def test_digest_of_a_run(spark):
     assert empty.columns == columns(DIGEST) and empty.count() == 0
 
 
+def test_digest_by_function(spark):
+    def judge(items):
+        return [{"id": i["id"], "platform": i["platform"], "score": "0.8", "tags": ["news"],
+                 "keep": "true" if i["text"] == "b" else "false"} for i in items]
+
+    got = daily_digest(*sample(spark), None, "2024-01-02 12:00:00", function_labeller(judge, 2))
+    assert sorted((r.text, r.tags) for r in got.collect()) == [("a", None), ("b", ["news"]), ("c", None)]
+
+
 def test_run_writes_everything(spark, tmp_path):
     out = str(tmp_path / "run")
 
@@ -72,7 +82,7 @@ def test_run_writes_everything(spark, tmp_path):
 
     for _ in range(2):
         alerts = run_daily(*sample(spark), registry(spark), "2024-01-02 12:00:00", "2024-01-02", out,
-                           labels, errors(spark))
+                           lambda m: join_labels(m, labels(m)), errors(spark))
     got = spark.read.parquet(f"{out}/digest")
     assert sorted((r.text, r.tags) for r in got.collect()) == [("a", ["news"]), ("b", None), ("c", None)]
     assert spark.read.parquet(f"{out}/run_log").where("channel_id = 't1'").first().kept == 3
