@@ -47,7 +47,7 @@ WORD = r"\p{L}\p{N}_"
 
 # --- Fixed values: links in raw message text ------------------------------------------------
 LINK_PATTERN = rf'https?://[^{WS}<>"]+|www\.[^{WS}<>"]+'
-LINK_TAIL = r"""[)\]"',.!;]+$"""
+LINK_TAIL_CHARS = ")]\"',.!;"
 LINK_MIN_LENGTH = 11
 
 # --- Fixed values: web addresses that cleaning removes ------------------------------------------
@@ -56,12 +56,13 @@ LINK_MIN_LENGTH = 11
 _HOST_CHARS = r"a-zA-Z0-9\x{A1}-\x{FFFF}"
 
 
-def clean_url(run: str, labels: str) -> str:
-    """``run`` and ``labels`` are the repeat marks within a host label and over the labels."""
+def clean_url(run: str, labels: str, user: str) -> str:
+    """The arguments are the repeat marks within a host label, over the labels and in the user
+    part."""
     label = rf"[{_HOST_CHARS}]+(?:-[{_HOST_CHARS}]+){run}"
     return (
         r"(?:[hH][tT][tT][pP][sS]?://|[fF][tT][pP]://|[wW]{3}[0-9]{0,3}\.)"
-        rf"(?:[^{WS}/@]+@)?"
+        rf"(?:[^{WS}/@]{user}@)?"
         rf"(?:{label}(?:\.{label}){labels}\.[a-zA-Z\x{{A1}}-\x{{FFFF}}]{{2,}}"
         r"|[lL][oO][cC][aA][lL][hH][oO][sS][tT]"
         r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3})"
@@ -71,8 +72,8 @@ def clean_url(run: str, labels: str) -> str:
 
 
 # Java repeats a group by recursion unless the repeat is possessive; 127 labels, the limit of a
-# host name, keep that shallow.
-CLEAN_URL = clean_url("*+", "{0,126}")
+# host name, keep that shallow. A bounded user part keeps a long list of addresses linear.
+CLEAN_URL = clean_url("*+", "{0,126}", "{1,255}")
 # A web address may not start right after one of these.
 CLEAN_URL_NOT_AFTER = rf"[{WORD}/.]"
 

@@ -28,7 +28,7 @@ def add_scheme(url: Column) -> Column:
 
 def trim_tail(url: Column) -> Column:
     """Drop closing brackets, quotes and sentence marks at the end."""
-    return F.regexp_replace(url, v.LINK_TAIL, "")
+    return F.rtrim(url, F.lit(v.LINK_TAIL_CHARS))
 
 
 def is_link(url: Column) -> Column:

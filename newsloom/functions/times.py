@@ -20,6 +20,13 @@ def day_name(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd")
 
 
+def offset_text(moment: Column) -> Column:
+    """Timestamp as text with its offset, a fraction only where there is one."""
+    whole = moment == F.date_trunc("second", moment)
+    return F.when(whole, F.date_format(moment, "yyyy-MM-dd HH:mm:ssxxx")).otherwise(
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"))
+
+
 def stamp(moment: Column) -> Column:
     """Timestamp as text with microseconds, for exports and comparisons."""
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..functions import fixed as v
 from ..functions.links import links_or_empty, no_links
 from ..functions.replies import (
-    encode_items, list_field, reply_length, strict_text_field, text_field,
+    encode_items, list_field, reply_length, strict_text_field, text_field, trimmed,
 )
 from ..functions.rubric import keep_rule, topic_score, topic_tags
 from ..schemas import LABEL_ITEMS, LABELS, columns
@@ -98,7 +98,7 @@ def explode_labels(replies: DataFrame) -> DataFrame:
     are read only where they are JSON strings."""
     items = replies.select(
         "batch_id",
-        F.posexplode(F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>"))
+        F.posexplode(F.try_variant_get(F.try_parse_json(trimmed(F.col("body"))), "$", "array<variant>"))
         .alias("pos", "value"),
     )
     item = F.col("value")

@@ -27,7 +27,7 @@ def collapse(text: str) -> str:
 
 
 def no_urls(text: str) -> str:
-    return sub(text, f"(^|[^{v.WORD}/.]){v.clean_url('*', '*')}", "\\1")
+    return sub(text, f"(^|[^{v.WORD}/.]){v.clean_url('*', '*', '+')}", "\\1")
 
 
 def no_emoji(text: str) -> str:
@@ -56,7 +56,7 @@ def low(text: str) -> str:
 def links(text: str) -> str:
     found = f"regexp_extract_all({text}, {q(v.LINK_PATTERN)})"
     whole = f"CASE WHEN starts_with(u, 'www.') THEN 'https://' || u ELSE u END"
-    trimmed = f"list_transform({found}, lambda u: regexp_replace({whole}, {q(v.LINK_TAIL)}, ''))"
+    trimmed = f"list_transform({found}, lambda u: rtrim({whole}, {q(v.LINK_TAIL_CHARS)}))"
     return (f"list_filter({trimmed}, lambda u: contains(u, '.') "
             f"AND length(u) >= {v.LINK_MIN_LENGTH})")
 
@@ -221,6 +221,11 @@ doc_labels AS (SELECT doc_id::VARCHAR AS id, 'telegram' AS platform, source AS c
   FROM labels JOIN documents USING (doc_id) WHERE quality = 1)"""
 
 
+_OFFSET_TIME = ("CASE WHEN timestamp = date_trunc('second', timestamp) "
+                "THEN strftime(timestamp, '%Y-%m-%d %H:%M:%S+00:00') "
+                "ELSE strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f+00:00') END")
+
+
 def _digest(source: str, extra: str = "") -> str:
     return f"""SELECT {_CANONICAL}, coalesce(l.score::VARCHAR, '') AS score,
     coalesce(l.tags, '') AS tags{extra}
@@ -299,6 +304,21 @@ def oracle_sql() -> dict[str, str]:
       SELECT 'no_messages', '', '', {q(v.ALERT_NO_MESSAGES)} FROM (SELECT count(*) AS n FROM posts
         WHERE ts >= TIMESTAMP '2030-01-01 00:00:00') WHERE n = 0)
       SELECT kind, channel_id, platform, {q(v.ALERT_PREFIX)} || text AS message FROM alerts"""
+    sql["parsed_times"] = f"""SELECT event_id, {stamp("""CASE event_type WHEN 'click'
+      THEN ts - INTERVAL 2 HOURS WHEN 'error' THEN date_trunc('second', ts) WHEN 'view' THEN NULL
+      ELSE ts END""")} AS parsed FROM events"""
+    sql["landed_messages"] = f"""WITH {COLLECTED} SELECT id, coalesce(text, '') AS text,
+      {stamp('timestamp')} AS timestamp, author, channel_id, platform,
+      {joined('links')} AS links, low_value FROM collected"""
+    line = "CASE WHEN position > 0 THEN ',' || chr(10) ELSE '' END || '{' || chr(10) || " + \
+        " || ',' || chr(10) || ".join(
+            f"'  \"{c}\" : ' || to_json({e})::VARCHAR" for c, e in (
+                ("id", "id"), ("channel_id", "channel_id"), ("platform", "platform"),
+                ("text", "text"), ("timestamp", _OFFSET_TIME))) + " || chr(10) || '}'"
+    sql["records_json"] = f"""WITH {MESSAGES}, ranked AS (
+        SELECT *, row_number() OVER (ORDER BY {ORDER}) - 1 AS position FROM messages)
+      SELECT position + 1 AS seq, {line} AS line FROM ranked
+      UNION ALL SELECT 0, '[' UNION ALL SELECT 9223372036854775807, ']'"""
     sql["label_input"] = f"""WITH {MESSAGES} SELECT id, text, platform, channel_id,
       {joined('links')} AS links FROM messages"""
     sql["label_batches"] = f"WITH {BATCHED} SELECT id, channel_id, platform, batch_id, pos FROM batched"

@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import fixed as v
 from ..functions import links as ln
 from ..functions import text as tx
-from ..functions.times import stamp
+from ..functions.times import parse_utc, stamp
 from ..operators import alerts, dedup, filters, labelling, ordering, stats
 from ..schemas import MESSAGES, columns
 from ..session import new_table_path
 from ..sources import registry as reg
-from ..sources.discord import normalize_discord
-from ..sources.telegram import normalize_telegram
+from ..sources import writers
+from ..sources.discord import normalize_discord, read_discord
+from ..sources.telegram import normalize_telegram, read_telegram
 from ..sources.writers import append_run_log, write_digest
 from ..streaming.incremental import current_messages, incremental_digest as keep_current
 from . import daily
@@ -274,6 +275,33 @@ def ranked_newest_first(spark, sf_dir):
     return ordering.with_row_index(rows, name="position").drop("timestamp")
 
 
+@query
+def parsed_times(spark, sf_dir):
+    kind = F.col("event_type")
+    text = F.concat(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(kind == "error", "").otherwise(F.date_format("ts", ".SSSSSS")),
+        F.when(kind == "click", "+02:00").when(kind == "signup", "Z").when(kind == "view", " later")
+        .otherwise(""),
+    )
+    return load(spark, sf_dir, "events").select("event_id", stamp(parse_utc(text)).alias("parsed"))
+
+
+@query
+def landed_messages(spark, sf_dir):
+    discord, telegram = (new_table_path(spark, f"landed-{p}") for p in (v.DISCORD, v.TELEGRAM))
+    raw_discord(discord_posts(spark, sf_dir)).write.json(discord)
+    raw_telegram(telegram_posts(spark, sf_dir)).write.json(telegram)
+    return _shown_platform(daily.collect_messages(
+        read_discord(spark, discord), read_telegram(spark, telegram)))
+
+
+@query
+def records_json(spark, sf_dir):
+    rows = _messages(spark, sf_dir).select("id", "channel_id", "platform", "text", "timestamp")
+    return writers.records_json(rows)
+
+
 # --- counts and alerts ----------------------------------------------------------------------------
 
 @query

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import TimestampType
 
+from ..functions.times import offset_text
 from ..operators.ordering import newest_first, with_row_index
 
 
@@ -26,6 +28,7 @@ def write_digest(df: DataFrame, path: str, run_date=None, fmt: str = "parquet")
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 5_000_000)
+        .options(timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX", ignoreNullFields=False)
         .partitionBy("run_date")
         .format(fmt)
         .save(path)
@@ -48,10 +51,11 @@ def records_json(df: DataFrame, order=newest_first) -> DataFrame:
     records, nulls written and letters unescaped. No task ever holds more than its own records.
     """
     indexed = with_row_index(df, order, "_seq", tag="records-json")
-    record = F.to_json(
-        F.struct(*(F.col(c) for c in df.columns)),
-        {"pretty": "true", "ignoreNullFields": "false"},
+    fields = (
+        offset_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, TimestampType)
+        else F.col(f.name) for f in df.schema
     )
+    record = F.to_json(F.struct(*fields), {"pretty": "true", "ignoreNullFields": "false"})
     body = indexed.select(
         (F.col("_seq") + 1).alias("seq"),
         F.concat(F.when(F.col("_seq") > 0, ",\n").otherwise(""), record).alias("line"),

@@ -25,6 +25,13 @@ def test_links_from_text(one, text, links):
     assert links == by_hand
 
 
+def test_long_tails_and_many_links(one):
+    tail, many = "https://a.io/x" + ")" * 300_000, "www.foo.com " * 20_000
+    got = one(ln.links_from_text, tail, tail + "x", many)
+    assert got[0] == ["https://a.io/x"] and got[1] == [tail + "x"]
+    assert got[2] == ["https://www.foo.com"] * 20_000
+
+
 def test_entities_embeds_and_concat(spark):
     rows = spark.sql("""SELECT
         array(named_struct('kind','text_url','url',' https://e.io '),

@@ -146,6 +146,7 @@ def test_json_array_export(spark, digest, tmp_path):
     assert [p["id"] for p in parsed] == list("43210")
     assert list(parsed[0]) == columns(DIGEST) and parsed[0]["author"] is None
     assert "té" in whole and '\n  "id"' in whole
+    assert parsed[0]["timestamp"] == "2024-01-05 00:00:00+00:00"
     write_digest_array(df, str(tmp_path / "array"))
     parts = sorted((tmp_path / "array").glob("part-*"))
     assert json.loads("".join(p.read_text(encoding="utf-8") for p in parts)) == parsed

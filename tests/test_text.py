@@ -1,4 +1,5 @@
 import re
+import time
 import unicodedata
 
 import pytest
@@ -84,6 +85,16 @@ def test_long_hosts_and_long_texts(one):
     assert one(tx.is_low_value, "!" * 200_000 + "gm") == [True]
 
 
+@pytest.mark.parametrize("piece", [
+    "www.a,", "http://", "https://a-", "www.1.", "a@", "&amp", "“Ã", " \t", "www.x.co/(", "é́", "1️",
+])
+def test_time_is_linear(one, piece):
+    texts = [piece * n for n in (2_000, 60_000)]
+    start = time.monotonic()
+    assert len(one(tx.clean_text, *texts)) == 2
+    assert time.monotonic() - start < 20
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.data())
 def test_whitespace_and_nfc(spark, data):
