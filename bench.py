@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) and ``BENCH_CPUS`` (default 8) choose data and
-cores; ``BENCH_RUNS`` (default 3) how often each query runs after one warm-up. Results go to the
+cores; ``BENCH_RUNS`` (default 2) how often each query runs after one warm-up. Results go to the
 ``noop`` sink, so the whole output is computed and none is collected.
 """
 
@@ -32,7 +32,7 @@ def timed(spark, query, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "newsloom-bench", f"local[{cpus}]",
         **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType
 
 from ..functions import fixed as v
 from ..functions.rubric import keep_rule, topic_score, topic_tags
@@ -13,13 +15,13 @@ from ..operators.alerts import run_alerts
 from ..operators.dedup import dedup_latest, union_channels
 from ..operators.filters import kept
 from ..operators.labelling import LABEL_KEYS, join_labels, label_input, label_with
-from ..operators.stats import channel_stats, with_failures
-from ..schemas import DIGEST, LOAD_ERRORS, columns
+from ..operators.stats import channel_stats, observe_count, run_totals, with_failures
+from ..schemas import DIGEST, LOAD_ERRORS, columns, extend
 from ..session import materialize
 from ..sources.discord import normalize_discord
 from ..sources.registry import registered_only
 from ..sources.telegram import normalize_telegram
-from ..sources.writers import append_run_log, write_digest
+from ..sources.writers import append_run_log, write_digest, write_digest_array
 
 
 def collect_messages(discord: DataFrame, telegram: DataFrame, sources: DataFrame | None = None,
@@ -89,20 +91,36 @@ def daily_digest(discord: DataFrame, telegram: DataFrame, sources: DataFrame | N
     return digest(collected, labeller, keep_empty=keep_empty).select(*columns(DIGEST))
 
 
-def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of, run_date,
+class RunResult(NamedTuple):
+    """What a run leaves besides its output: alert rows, totals, and the number of messages."""
+
+    alerts: DataFrame
+    totals: DataFrame
+    combined: int
+
+
+def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of, run_date: str,
               out: str, labeller: Labeller = rubric_labeller, errors: DataFrame | None = None,
-              hours: int = v.LOOKBACK_HOURS) -> DataFrame:
-    """Run and write everything: ``out/digest``, ``out/run_log`` by date; returns the alerts.
+              hours: int = v.LOOKBACK_HOURS, json_array: bool = False) -> RunResult:
+    """Run and write everything: ``out/digest`` and ``out/run_log`` by date, and with ``json_array``
+    the ordered JSON array of the date under ``out/array``.
 
     Cleaned messages are written once to the shared folder. Counts, digest and alerts read them
     from there, each only the columns it needs, so no text is cleaned twice, also when executors
-    are lost.
+    are lost. Messages are counted while the digest is written.
     """
+    spark = discord.sparkSession
     if errors is None:
-        errors = discord.sparkSession.createDataFrame([], LOAD_ERRORS)
+        errors = spark.createDataFrame([], LOAD_ERRORS)
     collected = materialize(collect_messages(discord, telegram, sources, as_of, hours), "collected")
-    write_digest(digest(collected, labeller).select(*columns(DIGEST)), f"{out}/digest", run_date)
+    rows, seen = observe_count(digest(collected, labeller).select(*columns(DIGEST)))
+    write_digest(rows, f"{out}/digest", run_date)
+    if json_array:
+        written = spark.read.schema(extend(DIGEST, run_date=DateType())).parquet(f"{out}/digest")
+        today = written.where(F.col("run_date") == F.lit(run_date).cast("date")).drop("run_date")
+        write_digest_array(today, f"{out}/array/{run_date}")
     stats = with_failures(channel_stats(collected, sources), errors)
     append_run_log(stats, f"{out}/run_log", run_date)
     messages = kept(collected)
-    return run_alerts(errors, messages, label_input(messages))
+    alerts = run_alerts(errors, messages, label_input(messages))
+    return RunResult(alerts, run_totals(stats), seen.get["rows"])

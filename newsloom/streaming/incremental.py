@@ -31,9 +31,10 @@ def incremental_digest(collected: DataFrame, table: str, checkpoint: str,
     """Start the stream: each micro-batch adds its latest row per text to ``table``.
 
     Latest of latest is latest, so the batches are reduced one by one and compared with each other
-    only on reading. A batch writes its own partition and a repeated batch replaces it: a run
-    that is restarted leaves nothing twice. Nothing is held between batches, so there is no state
-    that grows with the texts seen.
+    only on reading. A batch writes its own partitions, one per day it touches, and a repeated batch
+    holds the same rows and replaces them: a run that is restarted leaves nothing twice. Nothing is
+    held between batches, so there is no state that grows with the texts seen. Days that have left
+    the window can be deleted as folders.
     """
     messages = kept(collected)
 
@@ -41,8 +42,10 @@ def incremental_digest(collected: DataFrame, table: str, checkpoint: str,
         (
             dedup_latest(batch)
             .withColumn("run_date", F.to_date("timestamp"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("run_date").parquet(f"{table}/batch_id={batch_id}")
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .hint("rebalance", "run_date")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run_date", "batch_id").parquet(table)
         )
 
     return (
@@ -59,7 +62,7 @@ def current_messages(spark: SparkSession, table: str, as_of=None,
 
     The window also bounds ``run_date``, so only the days it touches are read.
     """
-    schema = extend(MESSAGES, batch_id=LongType(), run_date=DateType())
+    schema = extend(MESSAGES, run_date=DateType(), batch_id=LongType())
     rows = spark.read.schema(schema).parquet(table)
     if as_of is not None:
         first = as_timestamp(as_of) - F.make_interval(hours=F.lit(hours))

@@ -81,12 +81,27 @@ def test_run_writes_everything(spark, tmp_path):
             F.array(F.lit("news")).alias("tags"))
 
     for _ in range(2):
-        alerts = run_daily(*sample(spark), registry(spark), "2024-01-02 12:00:00", "2024-01-02", out,
-                           lambda m: join_labels(m, labels(m)), errors(spark))
+        result = run_daily(*sample(spark), registry(spark), "2024-01-02 12:00:00", "2024-01-02", out,
+                           lambda m: join_labels(m, labels(m)), errors(spark), json_array=True)
     got = spark.read.parquet(f"{out}/digest")
     assert sorted((r.text, r.tags) for r in got.collect()) == [("a", ["news"]), ("b", None), ("c", None)]
     assert spark.read.parquet(f"{out}/run_log").where("channel_id = 't1'").first().kept == 3
-    assert sorted(r.kind for r in alerts.collect()) == ["http_status", "http_status", "source_error", "source_error"]
+    assert result.combined == 3
+    totals = {(r.platform, r.channel_id): (r.pulled, r.kept) for r in result.totals.collect()}
+    assert totals[(None, None)] == (9, 7)
+    parts = sorted((tmp_path / "run" / "array" / "2024-01-02").glob("part-*"))
+    array = json.loads("".join(p.read_text(encoding="utf-8") for p in parts))
+    assert [r["text"] for r in array] == ["c", "b", "a"] and array[2]["tags"] == ["news"]
+    assert sorted(r.kind for r in result.alerts.collect()) == ["http_status", "http_status", "source_error", "source_error"]
+
+
+def test_empty_run(spark, tmp_path):
+    out = str(tmp_path / "run")
+    result = run_daily(*sample(spark), registry(spark), "2030-01-02", "2030-01-02", out, json_array=True)
+    assert result.combined == 0
+    assert sorted(r.kind for r in result.alerts.collect()) == ["no_messages", "nothing_to_label"]
+    parts = sorted((tmp_path / "run" / "array" / "2030-01-02").glob("part-*"))
+    assert json.loads("".join(p.read_text(encoding="utf-8") for p in parts)) == []
 
 
 def test_alert_texts(spark, messages):
@@ -140,9 +155,12 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_repeated_batch_leaves_nothing_twice(spark, messages, tmp_path):
-    table = str(tmp_path / "t")
-    rows = messages(("1", "a", "2024-01-02", "c", "telegram"))
-    for batch in (0, 0, 1):
-        rows.withColumn("run_date", F.to_date("timestamp")).write.mode("overwrite").partitionBy(
-            "run_date").parquet(f"{table}/batch_id={batch}")
+    """The stream's progress is lost after a batch was written: it runs again and replaces itself."""
+    landed, table = tmp_path / "landed", str(tmp_path / "table")
+    landed.mkdir()
+    (landed / "a.json").write_text(json.dumps(telegram_message(message="x", text="x")))
+    for state in ("state1", "state2"):
+        source = stream_landed(spark, v.TELEGRAM, str(landed))
+        incremental_digest(source, table, str(tmp_path / state)).awaitTermination()
+    assert spark.read.parquet(table).count() == 1
     assert current_messages(spark, table).count() == 1
