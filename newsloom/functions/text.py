@@ -150,7 +150,9 @@ def clean_text(text: Column) -> Column:
     removed, white space collapsed. Case, digits, e-mail addresses and punctuation stay; null
     stays null.
 
-    Most texts are told to be settled beforehand and skip the repair and emoji steps.
+    Most texts are told to be settled beforehand and skip the repair and emoji steps. Spark counts
+    the composition call as non-deterministic: put the result in a column before aggregating it, and
+    filter on other columns first, since filters do not move below it.
     """
     settled = strip_urls(text)
     other = strip_emoji(strip_urls(repair_unicode(text)))
