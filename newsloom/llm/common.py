@@ -22,7 +22,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/newsloom/{tag}-{uuid.uuid4().hex}"
+        self.run = uuid.uuid4().hex
+        self.root = f"{shared_dir(spark).rstrip('/')}/newsloom/{tag}-{self.run}"
         self._made = 0
 
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

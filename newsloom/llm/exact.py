@@ -108,6 +108,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     Columns of ``docs`` with one of those names are replaced; other names cannot clash.
     """
     scratch = Scratch(docs.sparkSession, "exact")
+    rows, decisions = decide(docs, scratch, id_col, text, block_bytes)
+    made = ["keep_id", "group_size", "kept", "text_sha256"]
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
+    sha = F.sha2(F.coalesce(F.col("row")[text], F.lit("")), 256).alias("text_sha256")
+    rid = f"rid_{scratch.run}"  # no column of docs has this name
+    joined = rows.select(F.col("rid").alias(rid), *own, sha).join(
+        decisions.withColumnRenamed("rid", rid), rid)
+    return joined.drop(rid)
+
+
+def decide(docs: DataFrame, scratch: Scratch, id_col: str, text: str,
+           block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """The rows, and ``rid, keep_id, group_size, kept`` for each."""
     rows, found = identities(docs, scratch, text, block_bytes)
     keyed = scratch.save(
         found.join(rows.select("rid", F.col("row")[id_col].alias("id")), "rid"), "identities")
@@ -119,15 +132,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         "rid", F.when(F.col("stays").isNull(), F.col("id")).otherwise(F.col("stays.id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("stays.rid") == F.col("rid"), F.lit(True)).alias("kept")), "decisions")
-    made = ["keep_id", "group_size", "kept", "text_sha256"]
-    sha = F.sha2(F.coalesce(F.col("row")[text], F.lit("")), 256).alias("text_sha256")
-    own = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
-    return rows.select("rid", "row").join(decisions, "rid").select(
-        *own, "keep_id", "group_size", "kept", sha)
+    scratch.drop(keyed, groups)
+    return rows, decisions
 
 
-def drop_exact_copies(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows that stay, with the columns they came with; clashing names are no matter."""
-    packed = docs.select(F.struct("*").alias("_row"), F.col(options.get("id_col", "doc_id")),
-                         F.col(text))
-    return exact_groups(packed, text=text, **options).where("kept").select("_row.*")
+def drop_exact_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows that stay, with the columns they came with, in one row of each class."""
+    scratch = Scratch(docs.sparkSession, "exact")
+    rows, decisions = decide(docs, scratch, id_col, text)
+    gone = scratch.save(decisions.where("NOT kept").select("rid"), "gone")
+    return rows.join(gone, "rid", "left_anti").select("row.*")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, mixing, simhash
+from . import bpe, exact, language, mixing, simhash
 
+BPE_FILE = "byte_bpe_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -15,6 +17,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(BPE_FILE))
+    return bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -24,18 +31,33 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    out = language.held_out(F.col("doc_id"), 5)
+    model = language.fit(docs.where(~out))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(_documents(spark, sf_dir).select("doc_id", "text"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OPERATORS: dict[str, Query] = {
-    f.__name__: f for f in (op3_simhash_near_dedup, op5_mix_sources, op10_exact_dedup)
+    f.__name__: f for f in (op1_byte_bpe, op3_simhash_near_dedup, op5_mix_sources, op7_language_id,
+                            op10_exact_dedup)
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return dict(OPERATORS)
+    return OPERATORS | {"pipeline": pipeline}
 
 
 # --- SQL -------------------------------------------------------------------------------------------
