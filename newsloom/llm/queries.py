@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, language, mixing, simhash
+from . import bpe, exact, htmltext, language, mixing, quality, simhash, tokenfile
+from .common import Scratch
 
+WORD_FILE = "word_bpe_49k.json"
 BPE_FILE = "byte_bpe_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(WORD_FILE), encoding="utf-8") as definition:
+        path = f"{Scratch(spark, 'tokens').root}/documents"
+        tokenfile.write_token_file(_documents(spark, sf_dir), path, definition.read(), end_id=2)
+    return tokenfile.read_token_file(spark, path)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir).select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,14 +48,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rules(_documents(spark, sf_dir).select("doc_id", "source", "text"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(_documents(spark, sf_dir).select("doc_id", "text"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OPERATORS: dict[str, Query] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_simhash_near_dedup, op5_mix_sources, op7_language_id,
-                            op10_exact_dedup)
+    f.__name__: f for f in (op1_byte_bpe, op3_simhash_near_dedup, op4_token_file, op5_mix_sources,
+                            op7_language_id, op8_quality_rules, op9_html_text, op10_exact_dedup)
 }
 
 
