@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, htmltext, language, mixing, quality, simhash, tokenfile
+from . import bpe, exact, htmltext, language, lm, mixing, quality, simhash, tokenfile
 from .common import Scratch
 
 WORD_FILE = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -62,8 +66,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS: dict[str, Query] = {
-    f.__name__: f for f in (op1_byte_bpe, op3_simhash_near_dedup, op4_token_file, op5_mix_sources,
-                            op7_language_id, op8_quality_rules, op9_html_text, op10_exact_dedup)
+    f.__name__: f for f in (op1_byte_bpe, op2_lm_score, op3_simhash_near_dedup, op4_token_file,
+                            op5_mix_sources, op7_language_id, op8_quality_rules, op9_html_text, op10_exact_dedup)
 }
 
 
