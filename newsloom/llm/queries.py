@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, htmltext, language, lm, mixing, quality, simhash, tokenfile
+from . import bpe, exact, htmltext, language, lm, mixing, quality, simhash, tokenfile, toxicity
 from .common import Scratch
 
 WORD_FILE = "word_bpe_49k.json"
@@ -44,6 +44,18 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    learned = labels.where(~language.held_out(F.col("doc_id"), 5))
+    chain = toxicity.fit(docs, learned, ["low_quality", "toxic"])
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", language.held_out(F.col("doc_id"), 5).alias("held_out"),
+                        F.col("toxic_score").alias("score"), F.col("toxic_pred").alias("toxic"),
+                        "low_quality_score", F.col("low_quality_pred").alias("low_quality"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
     out = language.held_out(F.col("doc_id"), 5)
@@ -67,7 +79,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS: dict[str, Query] = {
     f.__name__: f for f in (op1_byte_bpe, op2_lm_score, op3_simhash_near_dedup, op4_token_file,
-                            op5_mix_sources, op7_language_id, op8_quality_rules, op9_html_text, op10_exact_dedup)
+                            op5_mix_sources, op6_toxicity, op7_language_id, op8_quality_rules, op9_html_text, op10_exact_dedup)
 }
 
 
