@@ -1,7 +1,7 @@
 """Exact deduplication by deterministic block naming, in DataFrame operations only.
 
 Every text is cut into blocks of a fixed number of bytes. Equal blocks get one integer name, which
-is the block's place among the sorted distinct blocks. Then adjacent names are paired and the
+is the block's place among the distinct blocks, sorted by hash and content. Then adjacent names are paired and the
 sorted distinct pairs named in the same way, level by level, until every document has one name.
 Names come from comparing contents, so two texts have one name only if they are equal.
 
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.ordering import with_row_index
 from .common import Scratch
 
 BLOCK_BYTES = 4096
@@ -41,9 +40,12 @@ def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
         F.col("body").substr(F.col("pos") * block_bytes + 1, F.lit(block_bytes)).alias("block"))
 
 
-def _ranked(distinct: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys with their place in sorted order as ``name``."""
-    return with_row_index(distinct, lambda: [F.col(k) for k in keys], "name", "block-names")
+def _ranked(distinct: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """Distinct keys with their place in sorted order as ``name``: the number of the range and the
+    place in it. Ranges are cut on a hash of the keys, so the sample for the cuts holds no contents."""
+    hashed = distinct.withColumn("h", F.xxhash64(*keys))
+    ordered = hashed.repartitionByRange("h").sortWithinPartitions("h", *keys)
+    return scratch.save(ordered.select(*keys, F.monotonically_increasing_id().alias("name")), "names")
 
 
 def identities(docs: DataFrame, scratch: Scratch, text: str = "text",
@@ -62,7 +64,7 @@ def identities(docs: DataFrame, scratch: Scratch, text: str = "text",
     flagged = blocks.join(
         F.broadcast(coarse.withColumn("seen", F.lit(True))),
         _coarse(F.xxhash64("block")) == F.col("_coarse"), "left").drop("_coarse")
-    names = _ranked(flagged.where("seen").select("block").distinct(), ["block"])
+    names = _ranked(flagged.where("seen").select("block").distinct(), ["block"], scratch)
     named = flagged.where("seen").join(names, "block").select("rid", "n", "pos", "name")
     alone = flagged.where("seen IS NULL").select(
         "rid", "n", "pos", (F.lit(-1) - F.monotonically_increasing_id()).alias("name"))
@@ -93,7 +95,7 @@ def _next_level(level: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     unique = (F.col("a") < 0) | (b < 0)
     # the last name of an odd row stays unpaired; it is told apart from a pair by its length
     open_ = pairs.where(~unique).select("rid", "n", "pos", "a", F.coalesce("b", F.lit(-1)).alias("b"))
-    names = _ranked(open_.select("a", "b").distinct(), ["a", "b"])
+    names = _ranked(open_.select("a", "b").distinct(), ["a", "b"], scratch)
     named = open_.join(names, ["a", "b"]).select("rid", "n", "pos", "name")
     closed = pairs.where(unique).select("rid", "n", "pos", F.least("a", b).alias("name"))
     return scratch.save(named.unionByName(closed), "level")
