@@ -23,7 +23,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-CACHED = 700_000
+from .common import worker_model
+
+CACHED = 400_000
 LONGEST_CACHED = 64
 _NONE = 1 << 62
 _SPACE_WITHIN_SPACES = re.compile(r"\s \s").search
@@ -142,15 +144,9 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_codecs: dict[int, Codec] = {}
-
-
 def _codec(shared, pattern: str) -> Codec:
     """The worker's codec, kept between tasks."""
-    if id(shared.value) not in _codecs:
-        _codecs.clear()
-        _codecs[id(shared.value)] = Codec(shared.value, pattern)
-    return _codecs[id(shared.value)]
+    return worker_model(shared.value, lambda ranks: Codec(ranks, pattern))
 
 
 def share_ranks(spark: SparkSession, ranks: dict[bytes, int]):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,19 @@ class Scratch:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+_made_of: tuple[Any, Any] = (None, None)
+
+
+def worker_model(value: Any, make: Callable[[Any], Any]) -> Any:
+    """What ``make`` builds of a broadcast value, kept by a Python worker between tasks. A worker holds
+    one such object at a time, so a later operator does not pay for the tables of an earlier one."""
+    global _made_of
+    if _made_of[0] is not value:
+        _made_of = (None, None)
+        _made_of = (value, make(value))
+    return _made_of[1]
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text in UTF-8, with A-Z in lower case."""
     return text.encode("utf-8", "replace").lower().split() if text else []

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from .common import worker_model
+
 SAMPLE_DOCS = 48
 SAMPLE_DOC_CHARS = 4096
 SAMPLE_CHARS = 60_000
@@ -143,15 +145,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", id_col: str
     return Model({name: texts[name][:sample_chars] for name in names if texts[name].strip()})
 
 
-_parsers: dict[int, Parser] = {}
-
-
 def _parser(shared) -> Parser:
     """The worker's parser, kept between tasks."""
-    if id(shared.value) not in _parsers:
-        _parsers.clear()
-        _parsers[id(shared.value)] = Parser(shared.value.samples)
-    return _parsers[id(shared.value)]
+    return worker_model(shared.value, lambda model: Parser(model.samples))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", lang_col: str = "lang_pred",
