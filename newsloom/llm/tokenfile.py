@@ -32,6 +32,8 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 MAGIC = b"EFTK0001"
 SEGMENT_IDS = 1 << 21
+#: Places of up to this many segments (three numbers each) are sent to all executors.
+BROADCAST_SEGMENTS = 1 << 20
 SAMPLE = 64
 CACHED = 500_000
 LONGEST_CACHED = 64
@@ -265,7 +267,8 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = False) -> D
     """``doc_id, start, n_tokens, ids_crc32`` of every document, and its ids if asked for.
 
     ``start`` counts the ids of all documents before. Places of segments are summed over one number
-    per segment; documents are never counted through one task.
+    per segment; documents are never counted through one task. The segments meet their places where
+    they are stored while these are few enough to send, else through a shuffle.
     """
     file = spark.read.parquet(path)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
@@ -274,6 +277,8 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = False) -> D
     within = W.partitionBy("part").orderBy("no").rowsBetween(W.unboundedPreceding, -1)
     places = file.select("part", "no", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("at"))
     places = places.join(parts, "part").select("part", "no", (F.col("at") + F.col("part_start")).alias("at"))
+    if file.count() <= BROADCAST_SEGMENTS:
+        places = F.broadcast(places)
     schema = StructType().add("doc_id", LongType()).add("start", LongType()).add("n_tokens", LongType()) \
         .add("ids_crc32", LongType())
     if with_ids:
