@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from newsloom.plans.registered import queries
@@ -36,7 +37,9 @@ def main() -> None:
     spark = build_session(
         "newsloom-bench", f"local[{cpus}]",
         **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-           "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
+           "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g",
+           "spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "0",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="newsloom-bench-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered, seconds = queries(), {}

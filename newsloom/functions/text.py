@@ -20,7 +20,8 @@ _NOT_WORD = rf"[^{v.WORD}]"
 _PUNCT = rf"[^{v.WORD}{v.WS}]"
 
 # Gates: a cheap test of the current character before the long alternation behind it.
-_URL = rf"(?=[hHfFwW])(?<!{v.CLEAN_URL_NOT_AFTER}){v.CLEAN_URL}"
+_URL_START = rf"(?=[hHfFwW])(?<!{v.CLEAN_URL_NOT_AFTER})"
+_URL, _LONG_URL = _URL_START + v.CLEAN_URL, _URL_START + v.CLEAN_LONG_URL
 _EMOJI = (
     rf"(?=[\x{{A9}}\x{{AE}}\x{{203C}}-\x{{3299}}\x{{1F004}}-\x{{1FAFF}}])"
     rf"[{v.EMOJI_CHARS}][{v.EMOJI_TAIL}]*+|{v.KEYCAP}"
@@ -95,7 +96,8 @@ def collapse_whitespace(text: Column) -> Column:
 
 def strip_urls(text: Column) -> Column:
     """Remove web addresses; text around them stays, also the bracket or comma that follows."""
-    return F.regexp_replace(text, _URL, "")
+    return F.when(text.rlike(v.LONG_ADDRESS), F.regexp_replace(text, _LONG_URL, "")).otherwise(
+        F.regexp_replace(text, _URL, ""))
 
 
 def strip_emoji(text: Column) -> Column:

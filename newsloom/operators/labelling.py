@@ -7,7 +7,7 @@ import logging
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import fixed as v
 from ..functions.links import links_or_empty, no_links
@@ -93,49 +93,71 @@ def accepted_replies(responses: DataFrame, batches: DataFrame,
     )
 
 
-def explode_labels(replies: DataFrame) -> DataFrame:
-    """Reply items as rows: ``batch_id, id, platform, keep, score, tags``. ``keep`` and ``score``
-    are read only where they are JSON strings."""
-    items = replies.select(
-        "batch_id",
-        F.posexplode(F.try_variant_get(F.try_parse_json(trimmed(F.col("body"))), "$", "array<variant>"))
-        .alias("pos", "value"),
-    )
-    item = F.col("value")
-    return items.select(
-        "batch_id",
-        "pos",
-        text_field(item, "id").alias("id"),
-        text_field(item, "platform").alias("platform"),
-        strict_text_field(item, "keep").alias("keep"),
-        strict_text_field(item, "score").alias("score"),
-        list_field(item, "tags").alias("tags"),
-    )
+_ANSWER = ("id", "platform", "keep", "score", "tags")
 
 
-def fallback_labels(batched: DataFrame, accepted: DataFrame) -> DataFrame:
-    """For every item of a batch without a good reply: not kept, score 0, no tags."""
-    return batched.join(accepted.select("batch_id"), "batch_id", "left_anti").select(
-        "batch_id", "pos", "id", "platform", "channel_id",
-        F.lit(v.FALLBACK_KEEP).alias("keep"), F.lit(v.FALLBACK_SCORE).alias("score"),
-        no_links().alias("tags"),
-    )
+def parsed_reply(body: Column) -> Column:
+    """The items of a reply as an array of ``id, platform, keep, score, tags``. ``keep`` and ``score``
+    are read only where they are JSON strings; an item that is no object has nulls throughout."""
+    items = F.try_variant_get(F.try_parse_json(trimmed(body)), "$", "array<variant>")
+    return F.transform(items, lambda item: F.struct(
+        text_field(item, "id").alias("id"), text_field(item, "platform").alias("platform"),
+        strict_text_field(item, "keep").alias("keep"), strict_text_field(item, "score").alias("score"),
+        list_field(item, "tags").alias("tags")))
 
 
-def replay_labels(batched: DataFrame, responses: DataFrame) -> DataFrame:
-    """Labels from stored replies: accepted ones exploded, failed batches filled in.
+def matched_replies(batched: DataFrame, responses: DataFrame,
+                    max_attempts: int = v.MAX_ATTEMPTS) -> DataFrame:
+    """Every item of every batch's answer: ``batch_id, target, by_position`` and the label.
 
-    A reply names no channel, so the channel is looked up among the items of its batch: the item of
-    the batch with that id and platform.
+    The answer is the first good reply or, without one, a refusal of each item. An item labels the
+    message at its own place in the batch if id and platform agree with it; else the only message of
+    the batch with that id and platform; else none, and ``target`` is null. Messages and replies are
+    brought together by batch once; a group holds one batch and its few attempts.
     """
-    sizes = batched.groupBy("batch_id").agg(F.count("*").cast("int").alias("n"))
-    accepted = accepted_replies(responses, sizes)
-    channels = batched.select("batch_id", "id", "platform", "channel_id").dropDuplicates(
-        ["batch_id", "id", "platform"]
+    item = F.struct("pos", "id", "platform", "channel_id")
+    batches = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    attempts = (
+        responses.where(F.col("attempt") <= max_attempts)
+        .withColumn("n", reply_length(F.col("body"))).where(F.col("n").isNotNull())
+        .groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("attempt", "n", "body"))).alias("tries"))
     )
-    answered = explode_labels(accepted).join(channels, ["batch_id", "id", "platform"], "left")
-    names = ["batch_id", "pos", *columns(LABELS)]
-    return answered.select(*names).unionByName(fallback_labels(batched, accepted).select(*names))
+    refusal = F.transform("items", lambda i: F.struct(
+        i["id"].alias("id"), i["platform"].alias("platform"), F.lit(v.FALLBACK_KEEP).alias("keep"),
+        F.lit(v.FALLBACK_SCORE).alias("score"), no_links().alias("tags")))
+    good = F.get(F.filter("tries", lambda t: t["n"] == F.size("items")), F.lit(0))["body"]
+    answered = batches.join(attempts, "batch_id", "left").select(
+        "batch_id", "items", F.coalesce(parsed_reply(good), refusal).alias("answers"))
+
+    def agrees(item: Column, answer: Column) -> Column:
+        return (item["id"] == answer["id"]) & (item["platform"] == answer["platform"])
+
+    pairs = F.arrays_zip("items", "answers")
+    in_order = F.forall(pairs, lambda p: F.coalesce(agrees(p["items"], p["answers"]), F.lit(False)))
+    rows = answered.select("batch_id", F.when(~in_order, F.col("items")).alias("items"),
+                           F.explode(pairs).alias("pair"))
+    here, answer = F.col("pair.items"), F.col("pair.answers")
+    by_position = F.coalesce(agrees(here, answer), F.lit(False))
+    same = F.filter("items", lambda i: agrees(i, answer))
+    target = F.when(by_position, here).when(F.size(same) == 1, F.get(same, F.lit(0)))
+    return rows.select("batch_id", here["pos"].alias("place"), target.alias("target"),
+                       by_position.alias("by_position"), *[answer[n].alias(n) for n in _ANSWER[2:]])
+
+
+def replay_labels(batched: DataFrame, responses: DataFrame) -> DataFrame:
+    """Labels from stored replies: at most one for each message, an item at the message's own place
+    before one that only names it."""
+    found = matched_replies(batched, responses).where(F.col("target").isNotNull())
+    first = W.partitionBy("batch_id", "target.pos").orderBy(F.desc("by_position"), "place")
+    ranked = found.withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    return ranked.select("batch_id", "target.pos", "target.id", "target.platform", "target.channel_id",
+                         *_ANSWER[2:]).select("batch_id", "pos", *columns(LABELS))
+
+
+def unmatched_items(batched: DataFrame, responses: DataFrame) -> DataFrame:
+    """How many reply items name no message: ``batch_id, items``."""
+    lost = matched_replies(batched, responses).where(F.col("target").isNull())
+    return lost.groupBy("batch_id").agg(F.count("*").alias("items"))
 
 
 def kept_labels(labels: DataFrame) -> DataFrame:
@@ -196,17 +218,36 @@ def _partition_labeller(fn: Callable, batch_size: int, attempts: int):
                 return reply
         return [{"id": i["id"], "platform": i["platform"], **fallback} for i in items]
 
+    def as_text(value):
+        """A JSON value as the text a stored reply would give."""
+        if value is None or isinstance(value, str):
+            return value
+        return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+    def scalar(value):
+        return None if isinstance(value, (dict, list)) else as_text(value)
+
     def rows(items: list[dict]) -> pd.DataFrame:
-        channels: dict = {}
-        for item in items:
-            channels.setdefault((item["id"], item["platform"]), item["channel_id"])
+        named: dict = {}
+        for place, item in enumerate(items):
+            named.setdefault((item["id"], item["platform"]), []).append(place)
+        found: dict = {}
+        for place, label in enumerate(reply_to(items)):
+            if not isinstance(label, dict):
+                continue
+            key = (scalar(label.get("id")), scalar(label.get("platform")))
+            places = named.get(key, [])
+            by_position = place in places
+            if by_position or len(places) == 1:
+                target = place if by_position else places[0]
+                if target not in found or by_position and not found[target][0]:
+                    found[target] = by_position, label
         labels = []
-        for label in reply_to(items):
-            key = (str(label.get("id")), label.get("platform"))
-            texts = {n: label.get(n) if isinstance(label.get(n), str) else None
-                     for n in ("keep", "score")}
-            labels.append({"id": key[0], "platform": key[1], "channel_id": channels.get(key),
-                           **texts, "tags": list(label.get("tags") or [])})
+        for target, (_, label) in sorted(found.items()):
+            item, tags = items[target], label.get("tags")
+            texts = {n: label.get(n) if isinstance(label.get(n), str) else None for n in ("keep", "score")}
+            labels.append({"id": item["id"], "platform": item["platform"], "channel_id": item["channel_id"], **texts,
+                           "tags": [as_text(t) for t in tags] if isinstance(tags, (list, tuple)) else None})
         return pd.DataFrame(labels, columns=names)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

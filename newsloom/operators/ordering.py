@@ -28,7 +28,8 @@ def with_row_index(df: DataFrame, order=newest_first, name: str = "row_index",
     Sort by range over all tasks, note each row's partition and place in it, write that once to the
     shared folder, then add the number of rows in the partitions before. The written table fixes
     the partitions, so a lost executor cannot change a number already given out. The side that is
-    broadcast has one row per sort partition, whatever the data size.
+    broadcast has one row per sort partition, whatever the data size. The written table is the
+    result's ``temporary``, for ``session.discard`` once nothing reads it.
     """
     placed = df.orderBy(*order()).withColumn("_place", F.monotonically_increasing_id())
     saved = materialize(placed, tag)
@@ -39,9 +40,11 @@ def with_row_index(df: DataFrame, order=newest_first, name: str = "row_index",
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    return (
+    indexed = (
         saved.withColumn("_part", partition)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + F.col("_place").bitwiseAND(F.lit(_IN_PARTITION)))
         .drop("_part", "_place", "_offset")
     )
+    indexed.temporary = [saved]
+    return indexed

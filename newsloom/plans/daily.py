@@ -6,7 +6,6 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DateType
 
 from ..functions import fixed as v
 from ..functions.rubric import keep_rule, topic_score, topic_tags
@@ -16,12 +15,14 @@ from ..operators.dedup import dedup_latest, union_channels
 from ..operators.filters import kept
 from ..operators.labelling import LABEL_KEYS, join_labels, label_input, label_with
 from ..operators.stats import channel_stats, observe_count, run_totals, with_failures
-from ..schemas import DIGEST, LOAD_ERRORS, columns, extend
-from ..session import materialize
+from ..schemas import DIGEST, LOAD_ERRORS, columns
+from ..session import discard, materialize
 from ..sources.discord import normalize_discord
 from ..sources.registry import registered_only
 from ..sources.telegram import normalize_telegram
-from ..sources.writers import append_run_log, write_digest, write_digest_array
+from ..sources.writers import (
+    append_run_log, day_path, read_run_log, write_digest, write_digest_array,
+)
 
 
 def collect_messages(discord: DataFrame, telegram: DataFrame, sources: DataFrame | None = None,
@@ -60,7 +61,10 @@ def function_labeller(fn: Callable, batch_size: int = v.DAILY_BATCH_SIZE, **opti
     """
     def label(messages: DataFrame) -> DataFrame:
         saved = materialize(messages, "messages")
-        return join_labels(saved, materialize(label_with(saved, fn, batch_size, **options), "labels"))
+        labels = materialize(label_with(saved, fn, batch_size, **options), "labels")
+        joined = join_labels(saved, labels)
+        joined.temporary = [saved, labels]
+        return joined
 
     return label
 
@@ -107,20 +111,25 @@ def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of
 
     Cleaned messages are written once to the shared folder. Counts, digest and alerts read them
     from there, each only the columns it needs, so no text is cleaned twice, also when executors
-    are lost. Messages are counted while the digest is written.
+    are lost. Messages are counted while the digest is written, totals are read from the log, and what the run
+    kept in the shared folder is removed at its end, but for the alert rows. A rerun with the same ``as_of``
+    replaces everything that the first run wrote.
     """
     spark = discord.sparkSession
     if errors is None:
         errors = spark.createDataFrame([], LOAD_ERRORS)
     collected = materialize(collect_messages(discord, telegram, sources, as_of, hours), "collected")
-    rows, seen = observe_count(digest(collected, labeller).select(*columns(DIGEST)))
+    labelled = labeller(dedup_latest(kept(collected)))
+    rows, seen = observe_count(labelled.select(*columns(DIGEST)))
     write_digest(rows, f"{out}/digest", run_date)
     if json_array:
-        written = spark.read.schema(extend(DIGEST, run_date=DateType())).parquet(f"{out}/digest")
-        today = written.where(F.col("run_date") == F.lit(run_date).cast("date")).drop("run_date")
+        today = spark.read.schema(DIGEST).parquet(day_path(f"{out}/digest", run_date))
         write_digest_array(today, f"{out}/array/{run_date}")
-    stats = with_failures(channel_stats(collected, sources), errors)
-    append_run_log(stats, f"{out}/run_log", run_date)
+    run_id = str(as_of)
+    append_run_log(with_failures(channel_stats(collected, sources), errors), f"{out}/run_log", run_date, run_id)
+    logged = read_run_log(spark, f"{out}/run_log").where(
+        (F.col("run_date") == F.lit(str(run_date)[:10]).cast("date")) & (F.col("run_id") == run_id))
     messages = kept(collected)
-    alerts = run_alerts(errors, messages, label_input(messages))
-    return RunResult(alerts, run_totals(stats), seen.get["rows"])
+    alerts = materialize(run_alerts(errors, messages, label_input(messages)), "alerts")
+    discard(collected, *getattr(labelled, "temporary", ()))
+    return RunResult(alerts, run_totals(logged), seen.get["rows"])

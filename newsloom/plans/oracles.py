@@ -95,7 +95,11 @@ posts AS (
       WHEN 'view' THEN {q(SPACED_GREETING)}
       WHEN 'click' THEN 'https://feed.example.com/p/' || e.user_id || ' www.foo.com/x'
       WHEN 'error' THEN 'Exploit report: vulnerability in a bridge ' || e.props
-      ELSE {q(REPEATED)} END
+      ELSE CASE WHEN e.event_type = 'purchase' AND e.user_id % 30 = 3
+        THEN 'long https://' || repeat('u', 300) || '@host.example.com/p/' || e.user_id || ' and http://' ||
+          repeat('x.', 140) || 'com/' || e.event_id || ') end'
+        WHEN e.event_type = 'purchase' AND e.user_id % 3 = 0
+        THEN 'Order no. ' || e.event_id || ' of the token sale is filled' ELSE {q(REPEATED)} END END
   FROM events e)"""
 
 COLLECTED = f"""{POSTS},
@@ -140,12 +144,17 @@ answers AS (SELECT batch_id, count(*) AS n,
       CASE WHEN length(text) % 3 = 0 THEN '"false"' WHEN length(text) % 3 = 1 THEN '"true"'
         ELSE 'true' END || ',"score":"0.' || (70 + length(text) % 30) || '","tags":["news"]}}',
       ',' ORDER BY pos) AS items,
-    string_agg('{{"id":"' || id || '"}}', ',' ORDER BY pos) FILTER (pos > 0) AS short_items
+    string_agg('{{"id":"' || id || '"}}', ',' ORDER BY pos) FILTER (pos > 0) AS short_items,
+    string_agg('{{"id":"' || id || '","platform":"' || platform || '","keep":"true","score":"0.8","tags":[1,"x"]}}',
+      ',' ORDER BY pos DESC) AS reversed,
+    string_agg(CASE WHEN pos = 0 THEN '5' ELSE '{{"id":"' || id || '","platform":"' || platform ||
+      '","keep":"true","score":0.9,"tags":"news"}}' END, ',' ORDER BY pos) AS odd_items
   FROM batched GROUP BY batch_id),
 responses AS (
   SELECT batch_id, 1 AS attempt, CASE batch_id % 7 WHEN 0 THEN 'sorry, no' WHEN 1 THEN
       '[' || coalesce(short_items, '') || ']' WHEN 2 THEN '{{"labels": [' || items || ']}}'
-      WHEN 3 THEN '[' || items || '] done' ELSE ' [' || items || '] ' END AS body FROM answers
+      WHEN 3 THEN '[' || items || '] done' WHEN 5 THEN '[' || reversed || ']'
+      WHEN 6 THEN '[' || odd_items || ']' ELSE ' [' || items || '] ' END AS body FROM answers
   UNION ALL
   SELECT batch_id, 3, CASE WHEN batch_id % 2 = 0 THEN '[' || items || ']' END FROM answers
     WHERE batch_id % 7 < 4),
@@ -155,15 +164,24 @@ judged AS (SELECT r.*, a.n,
 accepted AS (SELECT batch_id, attempt, body FROM (
     SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY attempt) AS _rank FROM judged
     WHERE got = n) WHERE _rank = 1),
-answered AS (SELECT a.batch_id, b.pos, b.id, b.platform, b.channel_id,
-    a.body->('$[' || b.pos || ']') AS item
-  FROM accepted a JOIN batched b USING (batch_id)),
+said AS (SELECT a.batch_id, b.pos AS place, b.id AS own_id, b.platform AS own_platform,
+    a.body->('$[' || b.pos || ']') AS item FROM accepted a JOIN batched b USING (batch_id)),
+named AS (SELECT *, json_extract_string(item, '$.id') AS id, json_extract_string(item, '$.platform') AS platform
+  FROM said),
+only_one AS (SELECT batch_id, id, platform, min(pos) AS pos FROM batched
+  GROUP BY batch_id, id, platform HAVING count(*) = 1),
+aimed AS (SELECT n.*, n.id = own_id AND n.platform = own_platform AS in_place,
+    CASE WHEN n.id = own_id AND n.platform = own_platform THEN place ELSE o.pos END AS pos
+  FROM named n LEFT JOIN only_one o ON o.batch_id = n.batch_id AND o.id = n.id AND o.platform = n.platform),
+chosen AS (SELECT * FROM aimed WHERE pos IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY batch_id, pos ORDER BY coalesce(in_place, false) DESC, place) = 1),
 labelled AS (
-  SELECT batch_id, pos, json_extract_string(item, '$.id') AS id,
-    json_extract_string(item, '$.platform') AS platform, channel_id,
+  SELECT c.batch_id, c.pos, b.id, b.platform, b.channel_id,
     CASE WHEN json_type(item->'$.keep') = 'VARCHAR' THEN json_extract_string(item, '$.keep') END
       AS keep,
-    json_extract_string(item, '$.score') AS score, 'news' AS tags FROM answered
+    CASE WHEN json_type(item->'$.score') = 'VARCHAR' THEN json_extract_string(item, '$.score') END AS score,
+    CASE WHEN json_type(item->'$.tags') = 'ARRAY' THEN array_to_string(item->>'$.tags[*]', ' ') ELSE '' END AS tags
+  FROM chosen c JOIN batched b ON b.batch_id = c.batch_id AND b.pos = c.pos
   UNION ALL
   SELECT b.batch_id, b.pos, b.id, b.platform, b.channel_id, 'false', '0.0', ''
   FROM batched b ANTI JOIN accepted a USING (batch_id))"""
@@ -304,9 +322,13 @@ def oracle_sql() -> dict[str, str]:
       SELECT 'no_messages', '', '', {q(v.ALERT_NO_MESSAGES)} FROM (SELECT count(*) AS n FROM posts
         WHERE ts >= TIMESTAMP '2030-01-01 00:00:00') WHERE n = 0)
       SELECT kind, channel_id, platform, {q(v.ALERT_PREFIX)} || text AS message FROM alerts"""
-    sql["parsed_times"] = f"""SELECT event_id, {stamp("""CASE event_type WHEN 'click'
-      THEN ts - INTERVAL 2 HOURS WHEN 'error' THEN date_trunc('second', ts) WHEN 'view' THEN NULL
-      ELSE ts END""")} AS parsed FROM events"""
+    sql["parsed_times"] = f"""WITH told AS (SELECT event_id, CASE
+      WHEN user_id % 20 IN (0, 1, 2, 3, 7) THEN NULL
+      WHEN user_id % 20 = 4 THEN date_trunc('second', ts) - INTERVAL 1 HOUR
+      WHEN user_id % 20 IN (5, 6) THEN date_trunc('day', ts)
+      WHEN event_type = 'click' THEN ts - INTERVAL 2 HOURS WHEN event_type = 'error'
+      THEN date_trunc('second', ts) WHEN event_type = 'view' THEN NULL ELSE ts END AS t FROM events)
+      SELECT event_id, {stamp('t')} AS parsed FROM told"""
     sql["landed_messages"] = f"""WITH {COLLECTED} SELECT id, coalesce(text, '') AS text,
       {stamp('timestamp')} AS timestamp, author, channel_id, platform,
       {joined('links')} AS links, low_value FROM collected"""
@@ -327,9 +349,9 @@ def oracle_sql() -> dict[str, str]:
         ::VARCHAR, ',' ORDER BY pos) || ']' AS request FROM batched GROUP BY batch_id"""
     sql["label_validate"] = f"WITH {RESPONSES} SELECT batch_id, attempt, body FROM accepted"
     sql["label_fallback"] = f"""WITH {RESPONSES} SELECT batch_id, pos, id, platform, channel_id,
-      coalesce(keep, '') AS keep, score, tags FROM labelled"""
+      coalesce(keep, '') AS keep, coalesce(score, '') AS score, tags FROM labelled"""
     sql["label_kept"] = f"""WITH {RESPONSES} SELECT id, platform, channel_id,
-      score::DECIMAL(3,2)::VARCHAR AS score, tags FROM labelled WHERE keep = 'true'"""
+      coalesce(score::DECIMAL(3,2)::VARCHAR, '') AS score, tags FROM labelled WHERE keep = 'true'"""
     sql["digest_from_replies"] = f"""WITH {RESPONSES},
       good AS (SELECT id, platform, channel_id, score::DECIMAL(3,2)::VARCHAR AS score, tags
         FROM labelled WHERE keep = 'true')
@@ -359,6 +381,8 @@ def oracle_sql() -> dict[str, str]:
       messages AS ({latest('kept')}) {_digest('messages')}"""
     sql["digest_written"] = sql["digest_by_day"]
     sql["run_log"] = f"""WITH {_STATS} SELECT channel_id, platform, pulled, kept,
-      '2024-01-31' AS run_date FROM stats"""
+      true AS success, '' AS error, run_id, '2024-01-31' AS run_date
+      FROM stats, (VALUES ('first'), ('second')) AS r(run_id)"""
+    sql["digest_rerun"] = f"SELECT * FROM ({sql['digest_by_day']}) WHERE run_date <> '2024-01-30'"
     sql["incremental_digest"] = sql["dedup_latest"]
     return sql

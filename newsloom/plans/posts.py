@@ -4,7 +4,8 @@ The tables have no chat data. Every row of ``events``, ``documents`` and ``conve
 one post. Documents are long Telegram posts and conversation turns Discord messages, both with
 their whole text and timed by the event of the same number. An event itself is a short post after
 its type: some types are greetings or links only, and each repeats one text or a few in very many
-posts, as in real channels.
+posts, as in real channels. A third of the purchases have a text of their own: those share id, time and
+platform with the document of the same number, but not the channel.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as v
-from ..session import spread
 
 GREETING = "GM!! 🚀"
 SPACED_GREETING = "selamat   pagi."
@@ -21,7 +21,7 @@ DISCORD_EVENTS = ("signup", "error")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _link(site: Column | str) -> Column:
@@ -46,6 +46,11 @@ def _short_posts(events: DataFrame, platform: str) -> DataFrame:
         .when(kind == "click", F.concat(_link(F.lit("feed")), F.lit(" www.foo.com/x")))
         .when(kind == "error",
               F.concat(F.lit("Exploit report: vulnerability in a bridge "), F.col("props")))
+        .when((kind == "purchase") & (F.col("user_id") % 30 == 3), F.concat(
+            F.lit("long "), _link(F.concat(F.repeat(F.lit("u"), F.lit(300)), F.lit("@host"))), F.lit(" and http://"),
+            F.repeat(F.lit("x."), F.lit(140)), F.lit("com/"), F.col("event_id"), F.lit(") end")))
+        .when((kind == "purchase") & (F.col("user_id") % 3 == 0),
+              F.concat(F.lit("Order no. "), F.col("event_id"), F.lit(" of the token sale is filled")))
         .otherwise(F.lit(REPEATED))
     )
     rows = events.where(on_discord if platform == v.DISCORD else ~on_discord)

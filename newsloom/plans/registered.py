@@ -103,14 +103,14 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _responses(batched: DataFrame) -> DataFrame:
     """Replies derived from the batches: some good at once, some broken in each way the check must
-    catch, half of the broken ones answered well at the third attempt."""
+    catch, some in another order or with odd items, half of the broken ones answered well at the third attempt."""
     size = F.length("text")
     keep = F.when(size % 3 == 0, '"false"').when(size % 3 == 1, '"true"').otherwise("true")
     item = F.concat(
         F.lit('{"id":"'), "id", F.lit('","platform":"'), "platform", F.lit('","keep":'), keep,
         F.lit(',"score":"0.'), (70 + size % 30).cast("string"), F.lit('","tags":["news"]}'),
     )
-    rows = F.array_sort(F.collect_list(F.struct("pos", item.alias("item"), "id")))
+    rows = F.array_sort(F.collect_list(F.struct("pos", item.alias("item"), "id", "platform")))
     answers = batched.groupBy("batch_id").agg(rows.alias("r")).select(
         "batch_id",
         F.array_join(F.transform("r", lambda r: r["item"]), ",").alias("items"),
@@ -118,6 +118,12 @@ def _responses(batched: DataFrame) -> DataFrame:
             F.transform(F.filter("r", lambda r: r["pos"] > 0),
                         lambda r: F.concat(F.lit('{"id":"'), r["id"], F.lit('"}'))), ","
         ).alias("short"),
+        F.array_join(F.reverse(F.transform("r", lambda r: F.concat(
+            F.lit('{"id":"'), r["id"], F.lit('","platform":"'), r["platform"],
+            F.lit('","keep":"true","score":"0.8","tags":[1,"x"]}')))), ",").alias("reversed"),
+        F.array_join(F.transform("r", lambda r: F.when(r["pos"] == 0, "5").otherwise(F.concat(
+            F.lit('{"id":"'), r["id"], F.lit('","platform":"'), r["platform"],
+            F.lit('","keep":"true","score":0.9,"tags":"news"}')))), ",").alias("odd"),
     )
     kind = F.col("batch_id") % 7
     good = F.concat(F.lit("["), "items", F.lit("]"))
@@ -126,6 +132,8 @@ def _responses(batched: DataFrame) -> DataFrame:
         .when(kind == 1, F.concat(F.lit("["), "short", F.lit("]")))
         .when(kind == 2, F.concat(F.lit('{"labels": '), good, F.lit("}")))
         .when(kind == 3, F.concat(good, F.lit(" done")))
+        .when(kind == 5, F.concat(F.lit("["), "reversed", F.lit("]")))
+        .when(kind == 6, F.concat(F.lit("["), "odd", F.lit("]")))
         .otherwise(F.concat(F.lit(" "), good, F.lit(" ")))
     )
     third = F.when(kind < 4, F.struct(
@@ -284,6 +292,14 @@ def parsed_times(spark, sf_dir):
         F.when(kind == "click", "+02:00").when(kind == "signup", "Z").when(kind == "view", " later")
         .otherwise(""),
     )
+    user = F.col("user_id") % 20  # some texts without a whole date, and some in the basic form
+    text = (
+        F.when(user == 0, F.date_format("ts", "HH:mm")).when(user == 1, F.date_format("ts", "'T'HH:mm:ss"))
+        .when(user == 2, F.date_format("ts", "yyyy")).when(user == 3, F.date_format("ts", "yyyy-MM"))
+        .when(user == 4, F.date_format("ts", "yyyyMMdd'T'HHmmss'+0100'"))
+        .when(user == 5, F.date_format("ts", "yyyyMMdd")).when(user == 6, F.date_format("ts", "yyyy-MM-dd"))
+        .when(user == 7, "soon").otherwise(text)
+    )
     return load(spark, sf_dir, "events").select("event_id", stamp(parse_utc(text)).alias("parsed"))
 
 
@@ -368,14 +384,15 @@ def _replayed(batched: DataFrame) -> DataFrame:
 @query
 def label_fallback(spark, sf_dir):
     return _replayed(_batched(spark, sf_dir)).withColumn("tags", _joined(F.col("tags"))) \
-        .withColumn("keep", F.coalesce("keep", F.lit("")))
+        .withColumn("keep", F.coalesce("keep", F.lit(""))) \
+        .withColumn("score", F.coalesce("score", F.lit("")))
 
 
 @query
 def label_kept(spark, sf_dir):
     kept = labelling.kept_labels(_replayed(_batched(spark, sf_dir)))
     return kept.withColumn("tags", _joined(F.col("tags"))) \
-        .withColumn("score", F.col("score").cast("string"))
+        .withColumn("score", F.coalesce(F.col("score").cast("string"), F.lit("")))
 
 
 @query
@@ -456,9 +473,23 @@ def run_log(spark, sf_dir):
     path = new_table_path(spark, "run-log")
     counted = stats.channel_stats(_collected(spark, sf_dir)).select(
         "*", F.lit(None).cast("boolean").alias("success"), F.lit(None).cast("string").alias("error"))
-    append_run_log(counted, path, AS_OF[:10])
-    return spark.read.parquet(path).select(
-        "channel_id", "platform", "pulled", "kept", F.col("run_date").cast("string").alias("run_date"))
+    for run_id in ("first", "second", "second"):
+        append_run_log(counted, path, AS_OF[:10], run_id)
+    return writers.read_run_log(spark, path).select(
+        "channel_id", "platform", "pulled", "kept", F.coalesce("success", F.lit(True)).alias("success"),
+        F.coalesce("error", F.lit("")).alias("error"), "run_id",
+        F.col("run_date").cast("string").alias("run_date"))
+
+
+@query
+def digest_rerun(spark, sf_dir):
+    """A day that is written again as empty is gone; the others stay."""
+    path = new_table_path(spark, "digest-rerun")
+    rows = _by_day(spark, sf_dir)
+    write_digest(rows, path)
+    write_digest(rows.limit(0), path, "2024-01-30")
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return _shown_digest(stored, F.col("run_date").cast("string").alias("run_date"))
 
 
 @query

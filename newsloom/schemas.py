@@ -61,10 +61,6 @@ ARCHIVE = record(
     score=TEXT, tags=TEXTS,
 )
 
-RUN_STATS = record(
-    channel_id=TEXT, platform=TEXT, pulled=BIGINT, kept=BIGINT, success=BooleanType(), error=TEXT,
-)
-
 LOAD_ERRORS = record(channel_id=TEXT, platform=TEXT, http_status=IntegerType(), error=TEXT)
 
 ALERTS = record(kind=TEXT, channel_id=TEXT, platform=TEXT, message=TEXT)

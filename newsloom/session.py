@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,20 +31,12 @@ def build_session(app: str = "newsloom", master: str | None = None, **conf) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
-
-    A temporary folder stands in only where the setting is absent and all tasks run on this
-    machine.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
+    """The folder for intermediate tables, which all executors share: ``spark.checkpoint.dir`` of the
+    session, or the checkpoint directory set on its context."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="newsloom-")
-    context.setCheckpointDir(folder)
-    return folder
+    return named
 
 
 def new_table_path(spark: SparkSession, tag: str) -> str:
@@ -60,15 +51,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     path = new_table_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Hand the rows of a table with fewer splits than cores to all cores.
-
-    For small files only: a table with enough splits comes back as it is, without a shuffle.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, table.columns[0])
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, once nothing reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -2,46 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
+from datetime import date
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import TimestampType
 
 from ..functions.times import offset_text
 from ..operators.ordering import newest_first, with_row_index
+from ..session import discard
 
 
-def with_run_date(df: DataFrame, run_date) -> DataFrame:
-    """``run_date`` as a date, from a date, an ISO text or the run's timestamp."""
-    day = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    return df.withColumn("run_date", day.cast("date"))
+def day_path(path: str, run_date) -> str:
+    """The folder of one day in a table partitioned by ``run_date``."""
+    day = date.fromisoformat(str(run_date)[:10])
+    return f"{path.rstrip('/')}/run_date={day.isoformat()}"
 
 
 def write_digest(df: DataFrame, path: str, run_date=None, fmt: str = "parquet") -> None:
     """Write a digest partitioned by ``run_date``.
 
-    A rerun replaces the dates it holds and no others. For one date rows stay in the partitions they
-    are in, without a shuffle. Without ``run_date`` the frame brings the column itself and may hold
+    With a ``run_date`` that date's partition is replaced, also by nothing when the frame is empty; rows
+    stay in the partitions they are in, without a shuffle. Without ``run_date`` the frame brings the column itself and may hold
     many days: rows are then brought together by day, where adaptive execution splits large days and
-    joins small ones, so that not every task writes a file for every day.
+    joins small ones, so that not every task writes a file for every day. A rerun then replaces the
+    days it holds and no others: name the day to clear one that has become empty.
     """
-    dated = df.hint("rebalance", "run_date") if run_date is None else with_run_date(df, run_date)
-    (
-        dated.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+    rows = df.hint("rebalance", "run_date") if run_date is None else df.drop("run_date")
+    writer = (
+        rows.write.mode("overwrite").format(fmt)
         .option("maxRecordsPerFile", 5_000_000)
         .options(timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX", ignoreNullFields=False)
-        .partitionBy("run_date")
-        .format(fmt)
-        .save(path)
     )
+    if run_date is None:
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("run_date").save(path)
+    else:
+        writer.save(day_path(path, run_date))
 
 
-def append_run_log(stats: DataFrame, path: str, run_date) -> None:
-    """Append the per-channel counts of a run to the log table."""
-    (
-        with_run_date(stats, run_date)
-        .select("channel_id", "platform", "pulled", "kept", "success", "error", "run_date")
-        .write.mode("append").partitionBy("run_date").parquet(path)
-    )
+def append_run_log(stats: DataFrame, path: str, run_date, run_id: str | None = None) -> None:
+    """Write the per-channel counts of a run to the log table, under its date and ``run_id``. A rerun
+    with the same id replaces its rows; another id of the same day stands beside it, and without an
+    id every call does."""
+    run_id = run_id or uuid.uuid4().hex
+    columns = ("channel_id", "platform", "pulled", "kept", "success", "error")
+    stats.select(*columns, F.lit(run_id).alias("run_id")).write.mode("overwrite").parquet(
+        f"{day_path(path, run_date)}/run={quote(run_id, safe='')}")
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """``channel_id, platform, pulled, kept, success, error, run_id, run_date`` of all runs."""
+    return spark.read.parquet(path).drop("run").withColumn("run_date", F.col("run_date").cast("date"))
 
 
 def records_json(df: DataFrame, order=newest_first) -> DataFrame:
@@ -63,10 +75,14 @@ def records_json(df: DataFrame, order=newest_first) -> DataFrame:
     ends = df.sparkSession.sql(
         "SELECT * FROM VALUES (0L, '['), (9223372036854775807L, ']') AS t(seq, line)"
     )
-    return body.unionByName(ends)
+    pieces = body.unionByName(ends)
+    pieces.temporary = indexed.temporary
+    return pieces
 
 
 def write_digest_array(df: DataFrame, path: str, order=newest_first) -> None:
     """Write the JSON array of ``records_json`` as text files; read in name order they are the
     document."""
-    records_json(df, order).orderBy("seq").select("line").write.mode("overwrite").text(path)
+    pieces = records_json(df, order)
+    pieces.orderBy("seq").select("line").write.mode("overwrite").text(path)
+    discard(*pieces.temporary)

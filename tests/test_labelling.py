@@ -117,7 +117,7 @@ def test_second_attempt_counts(spark, messages):
             return [] if len(calls) == 1 else "not json"
         return [{"id": "1", "platform": "telegram", "keep": "true", "score": "x", "tags": None}]
 
-    assert [(r.id, r.score, r.tags) for r in lb.label_with(rows, flaky).collect()] == [("1", None, [])]
+    assert [(r.id, r.score, r.tags) for r in lb.label_with(rows, flaky).collect()] == [("1", None, None)]
 
 
 def test_rubric(spark):
@@ -135,3 +135,41 @@ def test_rubric(spark):
 def test_unknown_tag_rows(spark):
     labels = spark.createDataFrame([("1", "telegram", "c", "true", "1", ["news", "fun"])], LABELS)
     assert [(r.id, r.tag) for r in lb.unknown_tag_rows(labels).collect()] == [("1", "fun")]
+
+
+# --- odd replies: stored and live follow one rule -----------------------------------------------------
+
+def _item(id_, keep="true", score="0.8", tags=("news",), platform="telegram"):
+    return {"id": id_, "platform": platform, "keep": keep, "score": score, "tags": tags}
+
+
+ODD_REPLIES = {
+    "equal ids in two channels": [_item("5", score="0.7"), _item("5", score="0.9"), _item("7")],
+    "other order": [_item("7"), _item("5"), _item("5")],
+    "no objects": [5, None, "text"],
+    "odd tags": [_item("5", tags=[1, None, True, "a"]), _item("5", tags="news"), _item("7", tags={"a": 1})],
+    "repeated id": [_item("7", score="0.7"), _item("7", score="0.9"), _item("7", score="0.8")],
+    "number as id": [_item(5), _item("5"), _item(7, score=0.9)],
+    "unknown id": [_item("8"), _item("5"), _item(None)],
+    "odd fields": [{"id": {}, "platform": []}, _item("5", keep=True), _item("7", score="high")],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ODD_REPLIES))
+def test_stored_and_live_replies_agree(spark, messages, name):
+    reply = ODD_REPLIES[name]
+    rows = messages(("5", "a", "2024-01-03", "A", "telegram"), ("5", "b", "2024-01-02", "B", "telegram"),
+                    ("7", "c", "2024-01-01", "A", "telegram")).coalesce(1)
+    batched = lb.assign_batches(rows, 3)
+    stored = spark.createDataFrame([(0, 1, json.dumps(reply))], "batch_id long, attempt int, body string")
+    replayed = lb.kept_labels(lb.replay_labels(batched, stored))
+    live = lb.label_with(rows, lambda items: reply, batch_size=3)
+    assert sorted(map(str, replayed.collect())) == sorted(map(str, live.collect()))
+    assert lb.join_labels(rows, replayed).count() == 3
+    lost = lb.unmatched_items(batched, stored).agg({"items": "sum"}).first()[0] or 0
+    if name == "equal ids in two channels":
+        assert {(r.channel_id, str(r.score)) for r in replayed.where("id = '5'").collect()} == {
+            ("A", "0.70"), ("B", "0.90")}
+        assert lost == 0
+    if name == "no objects":
+        assert replayed.count() == 0 and lost == 3
