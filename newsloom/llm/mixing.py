@@ -7,13 +7,16 @@ are clamped, and what they cannot take goes to the others by weight, until no so
 A source's target then is so many whole repetitions of all its documents plus a fraction of one.
 The fraction is the beginning of a seeded shuffle of the source's documents, up to the last one that
 still fits into what the target asks for; what is then missing is filled from the next 64 documents
-of the shuffle, the largest that fits first. The shuffle is the order of a hash of the seed and the
-id, so reruns agree.
+of the shuffle, the largest that fits first. A source that still misses more than a thousandth of
+its target goes on along the whole rest of its shuffle and takes every document that fits into what
+is missing. The shuffle is the order of a hash of the seed and the id, so reruns agree.
 
 Per source there are only sums by the first three hex digits of that hash (4096 buckets). They tell
 in which bucket the fraction ends; only the documents of that bucket and, if it has fewer than 64
 after it, of the next ones are put in order. A source with a third of all rows is thus summed in
-the map tasks, and one 4096th of it is sorted.
+the map tasks, and one 4096th of it is sorted. Going on runs in written rounds over the same buckets:
+each takes all up to the next document that does not fit, and leaves out of the next round
+whatever is longer than what is then missing.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 FILL = 64
+SHORT = 0.001
 
 
 def word_count(text: Column) -> Column:
@@ -67,7 +71,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     """All columns of ``docs`` with ``size, source_size, target, copies, taken``.
 
     ``copies`` is how often the mix repeats the document and ``taken = copies * size``. A source's
-    taken words stay under its target, by less than the shortest document left out of the fill. Null text has size 0; null
+    taken words stay under its target, by at most ``SHORT`` of it or by less than the shortest document that the
+    fraction leaves out. Null text has size 0; null
     sources form a source of their own, as do empty ones; null ids are shuffled as an empty text.
     Rows equal in id and size are interchangeable. A mix of nothing is nothing. Columns of ``docs``
     with one of the new names are replaced.
@@ -106,18 +111,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     planned = sized.join(
         buckets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     far = planned.where("NOT around_end").withColumn("more", F.col("before") < F.col("part"))
-    near = _fill(planned.where("around_end"))
+    near, short = _fill(planned.where("around_end"), scratch)
+    decided = far.select(*near.columns).unionByName(near)
+    if not short.isEmpty():
+        decided = _go_on(decided, short, scratch)
     made = ["size", "source_size", "target", "copies", "taken"]
     copies = (F.col("whole") + F.col("more").cast("int")).cast("int")
     own = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
-    return far.select(*near.columns).unionByName(near).select(
+    return decided.select(
         *own, "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"))
 
 
-def _fill(rows: DataFrame) -> DataFrame:
+def _fill(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Add ``more`` to the documents around the end of their source's fraction: true for those
-    before the end, and for those of the next 64 that fill what is missing."""
+    before the end, and for those of the next 64 that fill what is missing. Also ``_from, rest`` of the
+    sources that then miss more than ``SHORT`` of their target."""
     order = W.partitionBy("source").orderBy("key", "size").rowsBetween(W.unboundedPreceding, 0)
     start = F.min("before").over(W.partitionBy("source"))
     upto = start + F.sum("size").over(order)
@@ -135,15 +144,84 @@ def _fill(rows: DataFrame) -> DataFrame:
             -doc["less"] <= state["rest"],
             F.struct((state["rest"] + doc["less"]).alias("rest"),
                      F.concat(state["ranks"], F.array(doc["rank"])).alias("ranks")),
-        ).otherwise(state), lambda state: state["ranks"])
-    picks = (
+        ).otherwise(state))
+    picks = scratch.save(
         ranked.withColumn("start", start).groupBy("source")
-        .agg(rest.alias("rest"), following.alias("following"))
-        .select(F.col("source").alias("_from"), picked.alias("picked"))
-    )
+        .agg(rest.alias("rest"), following.alias("following"), F.min("target").alias("target"))
+        .select(F.col("source").alias("_from"), "target", picked.alias("picked"))
+        .select("_from", "target", "picked.rest", F.col("picked.ranks").alias("picked")), "picks")
+    short = picks.where(F.col("rest") > F.col("target") * SHORT).select("_from", "rest")
+    picks = picks.select("_from", "picked")
     chosen = F.col("fits") | F.coalesce(F.array_contains("picked", F.col("rank")), F.lit(False))
     return ranked.join(picks, F.col("source").eqNullSafe(F.col("_from"))).select(
-        "row", "size", "source_size", "target", "whole", chosen.alias("more"))
+        "row", "source", "key", "bucket", "size", "source_size", "target", "whole", chosen.alias("more")), short
+
+
+_ROUND = "array<struct<most: double, after: struct<key: string, size: bigint>, " \
+         "upto: struct<key: string, size: bigint>, same: bigint>>"
+
+
+def _go_on(decided: DataFrame, short: DataFrame, scratch: Scratch) -> DataFrame:
+    """Set ``more`` also for what the sources of ``short`` take along the rest of their shuffle.
+
+    A round is ``most``, what was missing at its start; ``after``, the place where the one before
+    stopped; and ``upto``, the place of the first document of at most ``most`` words that does not
+    fit any more, null if all do. Of rows at that place it takes ``same``.
+    """
+    place, ours = F.struct("key", "size"), F.col("source").eqNullSafe(F.col("_from"))
+    left = scratch.save(
+        decided.where(~F.col("more") & (F.col("size") > 0)).join(short, ours)
+        .where(F.col("size") <= F.col("rest"))
+        .groupBy("source", "bucket", "key", "size").agg(F.count("*").alias("n")), "left")
+    state = short.withColumns({"rounds": F.array().cast(_ROUND), "after": F.lit(None).cast(
+        "struct<key: string, size: bigint>"), "open": F.lit(True)})
+    size, same = F.col("size"), F.floor((F.col("rest") - F.col("passed")) / F.col("size"))
+    while True:
+        fitting = left.join(state.where("open").select("_from", "rest", "after"), ours).where(
+            (size <= F.col("rest")) & (F.col("after").isNull() | (place > F.col("after"))))
+        upto = F.sum("words").over(W.partitionBy("source").orderBy("bucket"))
+        ends = (
+            fitting.groupBy("source", "bucket").agg(F.sum(size * F.col("n")).alias("words"))
+            .withColumn("passed_before", upto - F.col("words")).withColumn("passed_with", upto)
+            .join(state.select("_from", "rest"), ours)
+            .where((F.col("passed_before") <= F.col("rest")) & (F.col("passed_with") > F.col("rest")))
+            .select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), "passed_before")
+        )
+        in_order = W.partitionBy("source").orderBy("key", "size")
+        stops = (
+            fitting.join(ends, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+            .withColumn("with", F.col("passed_before") + F.sum(size * F.col("n")).over(in_order))
+            .withColumn("passed", F.col("with") - size * F.col("n")).where(F.col("with") > F.col("rest"))
+            .groupBy("source").agg(F.min(F.struct(
+                place.alias("upto"), same.alias("same"),
+                (F.col("rest") - F.col("passed") - same * size).alias("rest"))).alias("stop"))
+            .withColumnRenamed("source", "_stopped")
+        )
+        last = F.struct(F.col("rest").alias("most"), "after", F.col("stop.upto").alias("upto"), F.col("stop.same").alias("same"))
+        state = scratch.save(
+            state.join(stops, F.col("_from").eqNullSafe(F.col("_stopped")), "left").select(
+                "_from", F.coalesce("stop.rest", "rest").alias("rest"),
+                F.when(F.col("open"), F.concat("rounds", F.array(last).cast(_ROUND))).otherwise(F.col("rounds")).alias("rounds"),
+                F.coalesce("stop.upto", "after").alias("after"), F.col("stop").isNotNull().alias("open")), "rounds")
+        if state.where("open").isEmpty():
+            break
+
+    def within(r):
+        return (size <= r["most"]) & (r["after"].isNull() | (place > r["after"])) & (
+            r["upto"].isNull() | (place < r["upto"]))
+
+    def at_stop(r):
+        return (place == r["upto"]) & (r["same"] > 0)
+
+    joined = decided.join(state.select("_from", "rounds"), ours, "left").withColumns({
+        "candidate": ~F.col("more") & F.col("rounds").isNotNull() & (size > 0)})
+    joined = joined.withColumn("tied", F.col("candidate") & F.exists("rounds", at_stop))
+    found = joined.where("NOT coalesce(tied, false)").withColumn("more", F.col("more") | F.coalesce(
+        F.col("candidate") & F.exists("rounds", within), F.lit(False)))
+    tied = joined.where("tied").withColumn("number", F.row_number().over(
+        W.partitionBy("source", "key", "size").orderBy("size"))).withColumn("more", F.exists(
+            "rounds", lambda r: at_stop(r) & (F.col("number") <= r["same"])))
+    return found.select(*decided.columns).unionByName(tied.select(*decided.columns))
 
 
 def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:

@@ -1,5 +1,6 @@
 """Language model, mixing, toxicity, the registered queries and the pipeline."""
 
+import hashlib
 import importlib.util
 import math
 import os
@@ -122,6 +123,25 @@ def test_mix_hot_source_and_rerun(spark, documents):
     assert total == sum(r["copies"] for r in first)
 
 
+def test_mix_goes_on_past_a_document_that_does_not_fit(spark, documents):
+    def key(i):
+        return hashlib.md5(f"mix-1:{i}".encode()).hexdigest()
+
+    first, *others = sorted(range(1000), key=key)
+    rows = [(first, "w " * 60_000, "en", "z")]                       # the shuffle begins with it
+    rows += [(i, "w " * (25 + i % 50), "en", "z") for i in others]
+    rows += [(others[500], "w " * 40, "en", "z")] * 3 + [(10_000, "w " * 40_000, "en", "a")]
+    got = [r for r in mixing.mix(documents(*rows)).collect() if r["source"] == "z"]
+    rest = got[0]["target"]
+    assert rest < 60_000 and all(r["copies"] in (0, 1) for r in got)
+    rest -= sum(r["taken"] for r in got)
+    left_out = min(r["size"] for r in got if not r["copies"])
+    assert 0 <= rest < left_out and rest < got[0]["target"] / 500
+    order = sorted(got, key=lambda r: (key(r["doc_id"]), r["size"]))
+    late = [r["copies"] for r in order if r["size"] < 1000]
+    assert len(late) > 1000 and sum(late) > 500 and sum(late[:450]) > 445  # along the shuffle
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 def test_chain_learns_and_passes_on(spark, documents, odd_rows):
