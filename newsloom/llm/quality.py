@@ -1,9 +1,10 @@
 """Quality rules: signals of each text, and how many documents of a host share its lines.
 
-A line is normalised to its letters in lower case and hashed. For every host and line the distinct
+A line is normalised to its letters in lower case and hashed; one without a letter counts as it stands. For every host and line the distinct
 documents that have it are counted; documents with the same text count once, so a copied document
 does not turn its own lines into boilerplate. Lines in more than ``MIN_DOCS`` documents and more
-than ``SHARE`` of the host's documents are boilerplate and are taken out. A document is rejected
+than ``SHARE`` of the host's documents are boilerplate and are taken out, and so are lines of ``LONG_LINE``
+words or more in more than ``MAX_DOCS`` documents, however large the host is; short lines may be common words. A document is rejected
 if its base rules fail, or if it is depleted: too few of its words are left.
 
 Texts are read once. Lines travel as two hashes, are made distinct before they are counted, and are
@@ -28,6 +29,8 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 MIN_DOCS = 10
 SHARE = 0.05
+MAX_DOCS = 200
+LONG_LINE = 4
 MIN_LEFT_PERCENT = 30
 _no_letters = re.compile(r"[\W\d_]+").sub
 
@@ -53,12 +56,10 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edges) > 0).sum())
 
 
-def line_key(line: str) -> int | None:
-    """The hash of a normalised line; None if it has no letter."""
-    plain = _no_letters(" ", line.lower()).strip()
-    if not plain:
-        return None
-    return xxhash.xxh64_intdigest(plain) - (1 << 63)
+def line_key(line: str) -> int:
+    """The hash of a normalised line; odd if it has ``LONG_LINE`` words or more."""
+    plain = _no_letters(" ", line.lower()).strip() or "\n" + " ".join(line.split())
+    return (xxhash.xxh64_intdigest(plain) & ~1 | (len(plain.split()) >= LONG_LINE)) - (1 << 63)
 
 
 def signals(text: str | None) -> tuple:
@@ -74,8 +75,7 @@ def signals(text: str | None) -> tuple:
             duplicates += 1
         seen.add(line)
         key = line_key(line)
-        if key is not None:
-            lines[key] = lines.get(key, 0) + n
+        lines[key] = lines.get(key, 0) + n
     return (len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)),
             duplicates, repeated_words(words), list(lines), list(lines.values()))
 
@@ -98,7 +98,7 @@ def _measure(batches):
 
 
 def rules(docs: DataFrame, text: str = "text", host: str = "source", id_col: str = "doc_id",
-          min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+          min_docs: int = MIN_DOCS, share: float = SHARE, max_docs: int = MAX_DOCS) -> DataFrame:
     """``id_col``, the signals, ``removed_words``, ``base_failed`` and ``kept`` for every row.
 
     A null text has no words and fails the base rules. Null hosts count as the empty one. Rows that are equal
@@ -112,9 +112,10 @@ def rules(docs: DataFrame, text: str = "text", host: str = "source", id_col: str
     site = F.coalesce("host", F.lit("")).alias("site")  # null joins the empty host
     lines = measured.select(site, "digest", F.explode("lines").alias("line")).distinct()
     hosts = measured.select(site, "digest").distinct().groupBy("site").agg(F.count("*").alias("docs"))
+    everywhere = (F.col("n") > max_docs) & (F.col("line").bitwiseAND(F.lit(1)) == 1)
     shared = lines.groupBy("site", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_docs)
     frequent = scratch.save(
-        shared.join(hosts, "site").where(F.col("n") > F.col("docs") * share).select("site", "line"),
+        shared.join(hosts, "site").where((F.col("n") > F.col("docs") * share) | everywhere).select("site", "line"),
         "frequent-lines")
     each = measured.select("rid", site, F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
         "rid", "site", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))

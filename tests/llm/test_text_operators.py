@@ -207,6 +207,20 @@ def test_lines_shared_by_many_documents_go(spark, documents):
     assert all(got[200 + i]["kept"] for i in range(5)) and all(got[400 + i]["kept"] for i in range(40))
 
 
+def test_a_passage_of_a_large_source_goes(spark, documents):
+    def own(i, n):
+        return " ".join("".join(chr(97 + (i * 31 + j * j + 7) // 26**k % 26) for k in range(4)) + "abcdefgh"[j % 8] for j in range(n))
+    notice = "Subscribe now to our daily newsletter, it has all the latest stories of the week"
+    rows = [(i, own(i, 30), "en", "hot") for i in range(20_000)]
+    rows += [(30_000 + i, f"{notice}\n{own(30_000 + i, 12)}", "en", "hot") for i in range(300)]
+    rows += [(40_000 + i, f"{own(40_000 + i, 18)}\nyes\n\nand no", "en", "hot") for i in range(300)]
+    rows += [(50_000 + i, f"{own(50_000 + i, 30)}\n* * *\n12", "en", "small") for i in range(30)]
+    got = {r["doc_id"]: r for r in quality.rules(documents(*rows)).collect()}
+    assert not any(got[30_000 + i]["kept"] or got[30_000 + i]["base_failed"] for i in range(300))
+    assert all(got[40_000 + i]["kept"] and got[40_000 + i]["removed_words"] == 0 for i in range(300))
+    assert all(got[50_000 + i]["removed_words"] == 4 for i in range(30)) and got[0]["kept"]
+
+
 # --- pages -----------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T{i}</title><script>var t="</p><p>no";</script></head><body>
