@@ -51,44 +51,17 @@ LINK_TAIL_CHARS = ")]\"',.!;"
 LINK_MIN_LENGTH = 11
 
 # --- Fixed values: web addresses that cleaning removes ------------------------------------------
-# Scheme or www, optional user part, host with a letter-only last label (or localhost or an
-# IPv4 address), optional port, optional path that ends at white space or a closing bracket.
-_HOST_CHARS = r"a-zA-Z0-9\x{A1}-\x{FFFF}"
-
-
-_LAST_LABEL = r"[a-zA-Z\x{A1}-\x{FFFF}]"
-
-
-def clean_url(run: str, labels: str, user: str) -> str:
-    """The arguments are the repeat marks within a host label, over the labels and in the user part.
-    Without a mark over the labels the host is matched by a pattern that never goes back: from one
-    label that can be the last to the next."""
-    label = rf"[{_HOST_CHARS}]+(?:-[{_HOST_CHARS}]+){run}"
-    if labels:
-        host = rf"{label}(?:\.{label}){labels}\.{_LAST_LABEL}{{2,}}"
-    else:
-        hop = rf"{label}\.(?:(?!{_LAST_LABEL}{{2}}){label}\.)*+(?={_LAST_LABEL}{{2}})"
-        host = rf"(?:{hop})++{_LAST_LABEL}{{2,}}"
-    return (
-        r"(?:[hH][tT][tT][pP][sS]?://|[fF][tT][pP]://|[wW]{3}[0-9]{0,3}\.)"
-        rf"(?:[^{WS}/@]{user}@)?"
-        rf"(?:{host}"
-        r"|[lL][oO][cC][aA][lL][hH][oO][sS][tT]"
-        r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3})"
-        r"(?::[0-9]{2,5})?"
-        rf"(?:/[^)\]}}{WS}]*)?"
-    )
-
-
-# What web addresses are cut by. Java repeats a group by recursion unless the repeat is possessive; 127
-# labels keep that shallow, and a bounded user part keeps a long list of addresses linear. Texts with
-# a longer host or user part (see ``LONG_ADDRESS``) are cut by the pattern without bounds.
-CLEAN_URL = clean_url("*+", "{0,126}", "{1,255}")
-CLEAN_LONG_URL = clean_url("*+", "", "++")
-# More than 126 dots in one run, or more than 255 characters before an @; each run is read once.
-LONG_ADDRESS = rf"(?:\A|[{WS}/])(?:[^{WS}/.]*+\.){{127}}|(?:\A|[{WS}/@])[^{WS}/@]{{256}}[^{WS}/@]*+@"
+# Scheme or www, optional user part, IPv4 address or host with a letter-only last label or localhost,
+# optional port, optional path that ends at white space or a closing bracket.
+URL_SCHEME = r"[hH][tT][tT][pP][sS]?://|[fF][tT][pP]://"
+URL_WWW = r"[wW]{3}[0-9]{0,3}\."
+URL_USER_CHARS = rf"[^{WS}/@]"
+URL_HOST_CHARS = r"[a-zA-Z0-9\x{A1}-\x{FFFF}]"
+URL_LAST_LABEL = r"[a-zA-Z\x{A1}-\x{FFFF}]"
+URL_IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+URL_TAIL = rf"(?::[0-9]{{2,5}})?(?:/[^)\]}}{WS}]*+)?"
 # A web address may not start right after one of these.
-CLEAN_URL_NOT_AFTER = rf"[{WORD}/.]"
+URL_NOT_AFTER = rf"[{WORD}/.]"
 
 # --- Fixed values: code points with the Unicode property Emoji (ASCII left out) -----------------
 EMOJI_RANGES = (

@@ -8,6 +8,7 @@ linear in the text.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -20,8 +21,37 @@ _NOT_WORD = rf"[^{v.WORD}]"
 _PUNCT = rf"[^{v.WORD}{v.WS}]"
 
 # Gates: a cheap test of the current character before the long alternation behind it.
-_URL_START = rf"(?=[hHfFwW])(?<!{v.CLEAN_URL_NOT_AFTER})"
-_URL, _LONG_URL = _URL_START + v.CLEAN_URL, _URL_START + v.CLEAN_LONG_URL
+_URL_START = rf"(?<!{v.URL_NOT_AFTER})"
+
+
+def _url(with_user: bool) -> str:
+    """Web addresses, so that every character is read a bounded number of times whatever the text.
+
+    - A host is matched without going back: from one label that can be the last to the next.
+    - The user part is looked for once in a run of its characters: at the start of the run, if it ends
+      with ``@``, for the first www in it. What stands before is put back (group 1). After a scheme a
+      run starts anyway.
+    - A start without a host takes what it read of one along and puts it back (group 2), up to a place
+      where another address may start that is no part of such a host.
+    """
+    label = rf"{v.URL_HOST_CHARS}++(?:-{v.URL_HOST_CHARS}++)*+"
+    last = rf"{v.URL_LAST_LABEL}{{2}}"
+    hop = rf"{label}\.(?:(?!{last}){label}\.)*+(?={last})"
+    host = rf"(?:{v.URL_IPV4}|(?:{hop})++{v.URL_LAST_LABEL}++|[lL][oO][cC][aA][lL][hH][oO][sS][tT])"
+    user = rf"{v.URL_USER_CHARS}++@"
+    www = _URL_START + v.URL_WWW
+    start = rf"(?:{v.URL_SCHEME}|{v.URL_WWW})"
+    other = rf"{_URL_START}(?:{v.URL_SCHEME}|{v.URL_WWW}{v.URL_IPV4})"
+    here = rf"(?!{other}){v.URL_HOST_CHARS}"
+    read = rf"(?:{here}(?:{here}|[-.](?={v.URL_HOST_CHARS}))*+)?+"
+    gate = rf"(?=[hHfFwW]){_URL_START}"
+    if not with_user:
+        return rf"{gate}(?:{start}{host}{v.URL_TAIL}|({start}{read}))"
+    return (
+        rf"(?<!{v.URL_USER_CHARS})(?={v.URL_USER_CHARS}*+@)"
+        rf"((?:(?!{www}){v.URL_USER_CHARS})*+){www}{user}{host}{v.URL_TAIL}"
+        rf"|{gate}(?:{start}(?:(?<=/){user})?{host}{v.URL_TAIL}|({start}{read}))"
+    )
 _EMOJI = (
     rf"(?=[\x{{A9}}\x{{AE}}\x{{203C}}-\x{{3299}}\x{{1F004}}-\x{{1FAFF}}])"
     rf"[{v.EMOJI_CHARS}][{v.EMOJI_TAIL}]*+|{v.KEYCAP}"
@@ -69,6 +99,30 @@ _CP1252_LATIN = "".join(c for c in _CP1252.values() if ord(c) < 0x300)
 # A UTF-8 lead byte and a following byte, each read as one windows-1252 character.
 _BYTE_PAIR = rf"[\x{{C2}}-\x{{F4}}][\x{{80}}-\x{{BF}}{_BYTES_FROM}]"
 
+
+def _read_as(first: int, last: int) -> str:
+    """The inside of a class: a byte in this range, as itself or as the windows-1252 character."""
+    printable = "".join(c for c, control in zip(_BYTES_FROM, _BYTES_TO) if first <= ord(control) <= last)
+    return rf"\x{{{first:X}}}-\x{{{last:X}}}{printable}"
+
+
+_FOLLOWS = _read_as(0x80, 0xBF)
+_CODED_2 = rf"[\x{{C2}}-\x{{DF}}][{_FOLLOWS}]"
+_CODED_3_4 = (
+    rf"\x{{E0}}[{_read_as(0xA0, 0xBF)}][{_FOLLOWS}]|[\x{{E1}}-\x{{EC}}\x{{EE}}\x{{EF}}][{_FOLLOWS}]{{2}}"
+    rf"|\x{{ED}}[{_read_as(0x80, 0x9F)}][{_FOLLOWS}]|\x{{F0}}[{_read_as(0x90, 0xBF)}][{_FOLLOWS}]{{2}}"
+    rf"|[\x{{F1}}-\x{{F3}}][{_FOLLOWS}]{{3}}|\x{{F4}}[{_read_as(0x80, 0x8F)}][{_FOLLOWS}]{{2}}"
+)
+# A run of characters that spells valid UTF-8. One pair of characters alone is read so only after the two
+# lead bytes that no language has before such signs; a capital A with tilde or circumflex that ends
+# a word in capitals before a closing quote is not.
+_CODED_RUN = (
+    rf"(?:{_CODED_2}|{_CODED_3_4})(?:{_CODED_2}|{_CODED_3_4})++|{_CODED_3_4}"
+    rf"|(?<!\p{{Lu}})[\x{{C2}}\x{{C3}}][{_FOLLOWS}]"
+    rf"|[\x{{C2}}\x{{C3}}](?![\x{{BB}}\x{{201D}}\x{{2019}}\x{{203A}}])[{_FOLLOWS}]"
+)
+_CODED_PIECES = rf"(?s)(?:{_CODED_RUN})|(?:(?!{_CODED_RUN}).)++"
+
 # Scripts in which no repair, emoji or composition can apply. A text with anything else, an HTML
 # entity or what looks like doubly encoded letters takes the full path.
 _SETTLED = (
@@ -94,10 +148,19 @@ def collapse_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _WS_RUN, " "))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip_urls(text: Column) -> Column:
-    """Remove web addresses; text around them stays, also the bracket or comma that follows."""
-    return F.when(text.rlike(v.LONG_ADDRESS), F.regexp_replace(text, _LONG_URL, "")).otherwise(
-        F.regexp_replace(text, _URL, ""))
+    """Remove web addresses; text around them stays, also the bracket or comma that follows.
+
+    Only texts with an ``@`` are searched for user parts. The text is named more than once: give a
+    column, or use ``_once``.
+    """
+    return F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, _url(True), "$1$2")) \
+        .otherwise(F.regexp_replace(text, _url(False), "$1"))
 
 
 def strip_emoji(text: Column) -> Column:
@@ -119,32 +182,55 @@ def compose_nfc(text: Column) -> Column:
     return F.when(~text.rlike(_ONLY_SETTLED), _compose(text)).otherwise(text)
 
 
+def _as_utf8(text: Column) -> Column:
+    """Text whose characters are bytes read as windows-1252, read as UTF-8."""
+    return F.encode(F.translate(text, _BYTES_FROM, _BYTES_TO), "ISO-8859-1").cast("string")
+
+
 def redecode(text: Column) -> Column:
-    """Undo UTF-8 read as windows-1252, when the whole text is explained by that mistake."""
-    as_bytes = F.translate(text, _BYTES_FROM, _BYTES_TO)
-    decoded = F.encode(as_bytes, "ISO-8859-1").cast("string")
-    broken = text.rlike(_BYTE_PAIR) & ~as_bytes.rlike(r"[^\x00-\x{FF}]")
-    return F.when(broken, F.when(F.is_valid_utf8(decoded), decoded).otherwise(text)).otherwise(text)
+    """Undo UTF-8 read as windows-1252: of the whole text if that explains all of it, else of each run
+    of characters that spells valid UTF-8, so text that mixes both encodings is repaired too."""
+    def pieces(value: Column) -> Column:
+        found = F.regexp_extract_all(value, F.lit(_CODED_PIECES), F.lit(0))
+        return F.array_join(F.transform(found, lambda piece: F.when(
+            piece.rlike(rf"\A(?:{_CODED_RUN})\z"), _as_utf8(piece)).otherwise(piece)), "")
 
+    def whole(value: Column) -> Column:
+        narrow = ~F.translate(value, _BYTES_FROM, _BYTES_TO).rlike(r"[^\x00-\x{FF}]")
+        return F.when(narrow, F.when(F.is_valid_utf8(_as_utf8(value)), _as_utf8(value)).otherwise(pieces(value))) \
+            .otherwise(pieces(value))
 
-def repair_unicode(text: Column) -> Column:
-    """HTML entities, terminal escapes, double encoding, ligatures, full-width forms, curly quotes
-    and control characters, then NFC.
+    return F.when(text.rlike(_BYTE_PAIR), whole(text)).otherwise(text)
 
-    Entities are the common ones, and only in text without ``<``; double encoding is undone for a
-    whole text at a time. A text mixing both encodings stays as it is.
-    """
-    out = plain = redecode(text)
+
+def _entities(text: Column) -> Column:
+    plain = text
     for entity, char in v.ENTITIES.items():
         plain = F.replace(plain, F.lit(entity), F.lit(char))
-    out = F.when(F.contains(text, F.lit("<")), out).otherwise(plain)
-    out = F.regexp_replace(out, v.TERMINAL_ESCAPE, "")
-    split = out
+    return F.when(F.contains(text, F.lit("&")) & ~F.contains(text, F.lit("<")), plain).otherwise(text)
+
+
+def _ligatures(text: Column) -> Column:
+    split = text
     for joined, parts in v.LIGATURES.items():
         split = F.replace(split, F.lit(joined), F.lit(parts))
-    out = F.when(text.rlike(_LIGATURE) | text.rlike(_DOUBLE_CODED), split).otherwise(out)
-    out = F.translate(out, _REPAIR_FROM, _REPAIR_TO)
-    return F.when(text.isNotNull(), _compose(out))
+    return F.when(text.rlike(_LIGATURE), split).otherwise(text)
+
+
+def _escapes(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("\x1b")), F.regexp_replace(text, v.TERMINAL_ESCAPE, "")).otherwise(text)
+
+
+def repair_unicode(text: Column) -> Column:
+    """Double encoding, HTML entities, terminal escapes, ligatures, full-width forms, curly quotes
+    and control characters, then NFC. Each step looks by itself whether it is needed.
+
+    Entities are the common ones, and only in text without ``<``.
+    """
+    out = text
+    for step in (redecode, _entities, _escapes, _ligatures):
+        out = _once(out, step)
+    return _once(F.translate(out, _REPAIR_FROM, _REPAIR_TO), compose_nfc)
 
 
 def clean_text(text: Column) -> Column:
@@ -152,13 +238,12 @@ def clean_text(text: Column) -> Column:
     removed, white space collapsed. Case, digits, e-mail addresses and punctuation stay; null
     stays null.
 
-    Most texts are told to be settled beforehand and skip the repair and emoji steps. Spark counts
-    the composition call as non-deterministic: put the result in a column before aggregating it, and
-    filter on other columns first, since filters do not move below it.
+    Most texts are told to be settled beforehand and skip the repair and emoji steps. Each step is
+    computed once. Spark counts the composition call as non-deterministic: put the result in a column
+    before aggregating it, and filter on other columns first, since filters do not move below it.
     """
-    settled = strip_urls(text)
-    other = strip_emoji(strip_urls(repair_unicode(text)))
-    return collapse_whitespace(F.when(_is_settled(text), settled).otherwise(other))
+    other = strip_emoji(_once(repair_unicode(text), strip_urls))
+    return collapse_whitespace(F.when(_is_settled(text), strip_urls(text)).otherwise(other))
 
 
 def normalize_words(text: Column) -> Column:

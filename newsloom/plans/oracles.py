@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from ..functions import fixed as v
-from ..functions.rubric import DEFAULT_RUBRIC, words_pattern
-from .posts import DISCORD_EVENTS, GREETING, REPEATED, SPACED_GREETING
+from .posts import DISCORD_EVENTS, GREETING, MIXED, REPEATED, SPACED_GREETING
 
 
 def q(text: str) -> str:
@@ -26,18 +25,32 @@ def collapse(text: str) -> str:
     return f"trim({sub(text, f'[{v.WS}]+', ' ')})"
 
 
+# Address, emoji and topic patterns are spelt here anew, not taken from the library.
+_LABEL = r"[a-zA-Z0-9\x{A1}-\x{FFFF}]+(?:-[a-zA-Z0-9\x{A1}-\x{FFFF}]+)*"
+_ADDRESS = (
+    r"(^|[^\p{L}\p{N}_/.])(?:(?i:https?|ftp)://|(?i:www)[0-9]{0,3}\.)(?:[^\s\p{Z}/@]+@)?"
+    rf"(?:[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}|{_LABEL}(?:\.{_LABEL})*\.[a-zA-Z\x{{A1}}-\x{{FFFF}}]{{2,}}|(?i:localhost))"
+    r"(?::[0-9]{2,5})?(?:/[^)\]}\s\p{Z}]*)?"
+)
+_PICTURE = (
+    r"[\x{A9}\x{AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}\x{231A}-\x{23FF}\x{2600}-\x{27BF}"
+    r"\x{1F000}-\x{1FAFF}][\x{FE0F}\x{200D}]*"
+)
+
+
 def no_urls(text: str) -> str:
-    return sub(text, f"(^|[^{v.WORD}/.]){v.clean_url('*', '*', '+')}", "\\1")
+    return sub(text, _ADDRESS, "\\1")
 
 
 def no_emoji(text: str) -> str:
-    return sub(text, v.EMOJI)
+    return sub(text, _PICTURE)
 
 
 def repaired(text: str) -> str:
-    quotes = v.SINGLE_QUOTES + v.DOUBLE_QUOTES
-    plain = "'" * len(v.SINGLE_QUOTES) + '"' * len(v.DOUBLE_QUOTES)
-    return f"nfc_normalize(translate({text}, {q(quotes)}, {q(plain)}))"
+    """The repairs that these texts call for, one by one."""
+    for broken, whole in (("Ã©", "é"), ("ÐŸ", "П"), ("Ñ€", "р"), ("&amp;", "&"), ("ﬁ", "fi"), ("ＡＢ１", "AB1")):
+        text = f"replace({text}, {q(broken)}, {q(whole)})"
+    return f"nfc_normalize(translate({text}, {q('‘’“”')}, {q(chr(39) * 2 + chr(34) * 2)}))"
 
 
 def cleaned(text: str) -> str:
@@ -98,6 +111,7 @@ posts AS (
       ELSE CASE WHEN e.event_type = 'purchase' AND e.user_id % 30 = 3
         THEN 'long https://' || repeat('u', 300) || '@host.example.com/p/' || e.user_id || ' and http://' ||
           repeat('x.', 140) || 'com/' || e.event_id || ') end'
+        WHEN e.event_type = 'purchase' AND e.user_id % 30 = 6 THEN {q(MIXED)} || e.event_id
         WHEN e.event_type = 'purchase' AND e.user_id % 3 = 0
         THEN 'Order no. ' || e.event_id || ' of the token sale is filled' ELSE {q(REPEATED)} END END
   FROM events e)"""
@@ -187,10 +201,22 @@ labelled AS (
   FROM batched b ANTI JOIN accepted a USING (batch_id))"""
 
 
+_EDGE = r"([^\p{L}\p{N}_]|$)"
+_TOPIC_WORDS = {
+    "news": r"announc|listing|partnership|hack|audit",
+    "governance": rf"dao{_EDGE}|proposal|voting{_EDGE}|upgrade",
+    "product": rf"dapp|nft|token launch|staking{_EDGE}|bridge",
+    "feedback": r"complaint|bug report|suggestion",
+    "scam": rf"phishing{_EDGE}|fake site|rug pull|impersonat",
+    "education": r"gas fee|zk-proof|explain|tutorial",
+    "security": rf"exploit|vulnerabilit|wallet safety{_EDGE}",
+}
+
+
 def rubric_tags(where: str) -> str:
     flags = ", ".join(
-        f"CASE WHEN regexp_matches({where}, {q(words_pattern(DEFAULT_RUBRIC[t]))}) THEN {q(t)} END"
-        for t in v.TOPICS
+        rf"CASE WHEN regexp_matches(lower({where}), {q(rf'(^|[^\p{{L}}\p{{N}}_])({words})')}) THEN {q(topic)} END"
+        for topic, words in _TOPIC_WORDS.items()
     )
     return f"list_filter([{flags}], lambda t: t IS NOT NULL)"
 

@@ -17,6 +17,8 @@ from ..functions import fixed as v
 GREETING = "GM!! 🚀"
 SPACED_GREETING = "selamat   pagi."
 REPEATED = "Token launch 🎉: “staking” is live at the café\n\tsee www.foo.com."
+# Both encodings side by side, an entity, a ligature and full-width letters.
+MIXED = "cafÃ© — 😀 &amp; ﬁne “ＡＢ１” CafÃ©, Привет ÐŸÑ€ «CAFÉ» no. "
 DISCORD_EVENTS = ("signup", "error")
 
 
@@ -49,6 +51,7 @@ def _short_posts(events: DataFrame, platform: str) -> DataFrame:
         .when((kind == "purchase") & (F.col("user_id") % 30 == 3), F.concat(
             F.lit("long "), _link(F.concat(F.repeat(F.lit("u"), F.lit(300)), F.lit("@host"))), F.lit(" and http://"),
             F.repeat(F.lit("x."), F.lit(140)), F.lit("com/"), F.col("event_id"), F.lit(") end")))
+        .when((kind == "purchase") & (F.col("user_id") % 30 == 6), F.concat(F.lit(MIXED), F.col("event_id")))
         .when((kind == "purchase") & (F.col("user_id") % 3 == 0),
               F.concat(F.lit("Order no. "), F.col("event_id"), F.lit(" of the token sale is filled")))
         .otherwise(F.lit(REPEATED))
