@@ -38,6 +38,7 @@ ALERT_HTTP_STATUS = {
     404: "❌ Channel ID not found.",
 }
 ALERT_HTTP_OTHER = "⚠️ HTTP %s: %s"
+ALERT_UNREADABLE = "⚠️ %s: %d of %d rows cannot be read."
 ALERT_BODY_CHARS = 200
 
 # --- Fixed values: character classes (spelt so that Java and RE2 read them alike) -------------

@@ -55,6 +55,14 @@ def empty_alert(df: DataFrame, kind: str, text: str) -> DataFrame:
     )
 
 
+def unreadable_alerts(account: DataFrame, platform: str) -> DataFrame:
+    """One alert per landed file that holds rows which cannot be read, from ``landing_account``."""
+    text = F.format_string(v.ALERT_UNREADABLE, F.col("file"), F.col("n_unreadable"), F.col("n_rows"))
+    return account.where("n_unreadable > 0").select(
+        F.lit("unreadable_rows").alias("kind"), F.lit(None).cast("string").alias("channel_id"),
+        F.lit(platform).alias("platform"), format_alert(text).alias("message")).select(*columns(ALERTS))
+
+
 def run_alerts(errors: DataFrame, messages: DataFrame, labelable: DataFrame) -> DataFrame:
     """All alerts of a run: source errors, nothing collected, nothing to label."""
     rows = (

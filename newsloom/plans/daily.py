@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fixed as v
 from ..functions.rubric import keep_rule, topic_score, topic_tags
 from ..functions.times import run_day
-from ..operators.alerts import run_alerts
+from ..operators.alerts import run_alerts, unreadable_alerts
 from ..operators.dedup import dedup_latest, union_channels
 from ..operators.filters import kept
 from ..operators.labelling import LABEL_KEYS, join_labels, label_input, label_with
@@ -18,6 +18,7 @@ from ..operators.stats import channel_stats, observe_count, run_totals, with_fai
 from ..schemas import DIGEST, LOAD_ERRORS, columns
 from ..session import discard, materialize
 from ..sources.discord import normalize_discord
+from ..sources.landing import RAW, landing_account, read_landed, readable
 from ..sources.registry import registered_only
 from ..sources.telegram import normalize_telegram
 from ..sources.writers import (
@@ -96,11 +97,13 @@ def daily_digest(discord: DataFrame, telegram: DataFrame, sources: DataFrame | N
 
 
 class RunResult(NamedTuple):
-    """What a run leaves besides its output: alert rows, totals, and the number of messages."""
+    """What a run leaves besides its output: alert rows, totals, the number of messages, and of the
+    landed rows those that could not be read."""
 
     alerts: DataFrame
     totals: DataFrame
     combined: int
+    unreadable: int = 0
 
 
 def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of, run_date: str,
@@ -133,3 +136,20 @@ def run_daily(discord: DataFrame, telegram: DataFrame, sources: DataFrame, as_of
     alerts = materialize(run_alerts(errors, messages, label_input(messages)), "alerts")
     discard(collected, *getattr(labelled, "temporary", ()))
     return RunResult(alerts, run_totals(logged), seen.get["rows"])
+
+
+def run_landed(spark: SparkSession, landed: dict[str, str], sources: DataFrame, as_of, run_date: str, out: str,
+               hours: int = v.LOOKBACK_HOURS, margin_days: int = 1, **options) -> RunResult:
+    """``run_daily`` over landed files: ``landed`` has the folder of each platform.
+
+    Only days that the look-back window can need are read. Rows that cannot be read are left out; a
+    second, narrow pass over the same files counts them, for an alert on each file that holds some.
+    """
+    rows = {p: read_landed(spark, landed[p], RAW[p], as_of, hours, margin_days) for p in RAW}
+    result = run_daily(readable(rows[v.DISCORD]), readable(rows[v.TELEGRAM]), sources, as_of, run_date, out,
+                       hours=hours, **options)
+    accounts = union_channels(*(landing_account(rows[p]).withColumn("platform", F.lit(p)) for p in RAW))
+    faulty = materialize(accounts.where("n_unreadable > 0"), "unreadable")
+    told = (unreadable_alerts(faulty.where(F.col("platform") == p), p) for p in RAW)
+    total = faulty.agg(F.coalesce(F.sum("n_unreadable"), F.lit(0))).first()[0]
+    return result._replace(alerts=union_channels(result.alerts, *told), unreadable=total)

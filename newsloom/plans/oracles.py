@@ -116,8 +116,9 @@ posts AS (
         THEN 'Order no. ' || e.event_id || ' of the token sale is filled' ELSE {q(REPEATED)} END END
   FROM events e)"""
 
-COLLECTED = f"""{POSTS},
-flagged AS (SELECT *, {low('text')} AS low_value FROM posts),
+def collected_from(source: str) -> str:
+    return f"""
+flagged AS (SELECT *, {low('text')} AS low_value FROM {source}),
 collected AS (
   SELECT id,
     CASE WHEN NOT low_value THEN {cleaned('text')} END AS text,
@@ -131,6 +132,15 @@ collected AS (
     low_value
   FROM flagged)"""
 
+
+COLLECTED = f"{POSTS}, {collected_from('posts')}"
+
+# What of the landed posts can be read and has a time and a text.
+SOUND = """
+sound AS (SELECT * FROM posts WHERE user_id % 40 <> 5 AND CASE platform WHEN 'discord'
+  THEN user_id % 40 NOT IN (1, 2) ELSE user_id % 40 NOT IN (3, 4) AND text <> '' END)"""
+IN_WINDOW = "ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOURS"
+
 ORDER = "timestamp DESC NULLS LAST, platform, channel_id, id"
 
 
@@ -336,7 +346,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT channel_id, platform, pulled, kept, 'unknown' AS success, '' AS error FROM stats
       ANTI JOIN failed USING (channel_id, platform)
       UNION ALL SELECT channel_id, platform, 0, 0, 'false', error FROM failed"""
-    sql["run_alerts"] = f"""WITH {POSTS}, {ERRORS}, alerts AS (
+    sql["run_alerts"] = f"""WITH {COLLECTED}, {ERRORS}, alerts AS (
       SELECT 'http_status' AS kind, channel_id, platform, {_HTTP} AS text FROM errors
         WHERE http_status IS NOT NULL
       UNION ALL
@@ -345,8 +355,11 @@ def oracle_sql() -> dict[str, str]:
         ELSE '❌ Telegram ' || channel_id || ' error: ' || {_ERROR_TEXT} END
       FROM errors WHERE {_FATAL}
       UNION ALL
-      SELECT 'no_messages', '', '', {q(v.ALERT_NO_MESSAGES)} FROM (SELECT count(*) AS n FROM posts
-        WHERE ts >= TIMESTAMP '2030-01-01 00:00:00') WHERE n = 0)
+      SELECT 'no_messages', '', '', {q(v.ALERT_NO_MESSAGES)} FROM (SELECT count(*) AS n FROM collected
+        WHERE NOT low_value AND timestamp >= TIMESTAMP '2024-02-03 00:00:00') WHERE n = 0
+      UNION ALL
+      SELECT 'nothing_to_label', '', '', {q(v.ALERT_NOTHING_TO_LABEL)} FROM (SELECT count(*) AS n FROM collected
+        WHERE NOT low_value AND channel_id IN ('feed_signup', 'feed_view')) WHERE n = 0)
       SELECT kind, channel_id, platform, {q(v.ALERT_PREFIX)} || text AS message FROM alerts"""
     sql["parsed_times"] = f"""WITH told AS (SELECT event_id, CASE
       WHEN user_id % 20 IN (0, 1, 2, 3, 7) THEN NULL
@@ -411,4 +424,62 @@ def oracle_sql() -> dict[str, str]:
       FROM stats, (VALUES ('first'), ('second')) AS r(run_id)"""
     sql["digest_rerun"] = f"SELECT * FROM ({sql['digest_by_day']}) WHERE run_date <> '2024-01-30'"
     sql["incremental_digest"] = sql["dedup_latest"]
+    day = f"""{COLLECTED}, kept AS (SELECT * EXCLUDE (low_value) FROM collected WHERE NOT low_value
+        AND timestamp >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 24 HOURS),
+      messages AS ({latest('kept')})"""
+    sql["incremental_landed"] = f"WITH {day} SELECT {_CANONICAL} FROM messages"
+    sql["landed_24h"] = f"""WITH {POSTS}, {SOUND}, recent AS (SELECT * FROM sound WHERE {IN_WINDOW}),
+      {collected_from('recent')} SELECT id, coalesce(text, '') AS text, {stamp('timestamp')} AS timestamp, author,
+      channel_id, platform, {joined('links')} AS links, low_value FROM collected"""
+    sql["landing_account"] = f"""WITH {POSTS} SELECT platform,
+      CASE WHEN platform = 'discord' AND user_id % 40 IN (1, 2) THEN '' ELSE ts::DATE::VARCHAR END AS landed,
+      count(*) AS n_rows, count(*) FILTER (user_id % 40 = 5) AS n_unreadable, 0::BIGINT AS n_empty
+      FROM posts GROUP BY ALL"""
+    sql["observed_count"] = sql["combined_count"]
+    sql["label_input_defaults"] = f"""WITH {MESSAGES} SELECT id, text, platform, channel_id, 0::INT AS links
+      FROM messages WHERE length(text) % 3 <> 0"""
+    sql["distinct_links"] = f"""WITH {POSTS}, found AS (SELECT id, channel_id,
+        list_concat(['https://t.example.com/' || k], {links('text')}) AS l FROM posts WHERE platform = 'telegram'),
+      each_link AS (SELECT id, channel_id, unnest(l) AS link, generate_subscripts(l, 1) AS place FROM found),
+      firsts AS (SELECT id, channel_id, link, min(place) AS place FROM each_link GROUP BY ALL)
+      SELECT id, channel_id, link, row_number() OVER (PARTITION BY id, channel_id ORDER BY place) - 1 AS pos FROM firsts"""
+    sql["digest_archive"] = f"SELECT * EXCLUDE (run_date) FROM ({sql['digest_by_day']})"
+    sql["whole_run"] = f"""WITH {POSTS}, {known}, {ERRORS}, {SOUND},
+      recent AS (SELECT * FROM sound SEMI JOIN registry USING (channel_id, platform) WHERE {IN_WINDOW}),
+      {collected_from('recent')},
+      kept AS (SELECT * EXCLUDE (low_value) FROM collected WHERE NOT low_value),
+      messages AS ({latest('kept')}),
+      tagged AS (SELECT *, {rubric_tags("concat_ws(' ', text, array_to_string(links, ' '))")} AS tags FROM messages),
+      scored AS (SELECT *, {rubric_score('tags')} AS score FROM tagged),
+      known_errors AS (SELECT * FROM errors SEMI JOIN registry USING (channel_id, platform)),
+      failed AS (SELECT channel_id, platform, {_ERROR_TEXT} AS error FROM known_errors WHERE {_FATAL}),
+      counts AS (SELECT channel_id, platform, count(*) AS in_window, count(*) FILTER (NOT low_value) AS no_greeting,
+        count(DISTINCT text) FILTER (NOT low_value) AS distinct_text FROM collected GROUP BY ALL)
+      SELECT 'digest' AS part, channel_id, platform, id AS key, concat_ws('|', {stamp('timestamp')}, author,
+        {joined('links')}, CASE WHEN score >= 0.70 THEN score::VARCHAR ELSE '' END,
+        CASE WHEN score >= 0.70 THEN {joined('tags')} ELSE '' END, text) AS value FROM scored
+      UNION ALL
+      SELECT 'log', channel_id, platform, '2024-01-31 00:00:00',
+        coalesce(CASE platform WHEN 'discord' THEN in_window ELSE no_greeting END, 0) || '|' ||
+        coalesce(CASE platform WHEN 'discord' THEN no_greeting ELSE distinct_text END, 0) || '||'
+      FROM (SELECT * FROM registry ANTI JOIN failed USING (channel_id, platform)) LEFT JOIN counts USING (channel_id, platform)
+      UNION ALL
+      SELECT 'log', channel_id, platform, '2024-01-31 00:00:00', '0|0|false|' || error FROM failed
+      UNION ALL
+      SELECT 'alert', channel_id, platform, 'http_status', {q(v.ALERT_PREFIX)} || {_HTTP} FROM known_errors
+        WHERE http_status IS NOT NULL
+      UNION ALL
+      SELECT 'alert', channel_id, platform, 'source_error', {q(v.ALERT_PREFIX)} || CASE platform
+        WHEN 'discord' THEN '❌ Discord ' ELSE '❌ Telegram ' END || channel_id || ' error: ' || error FROM failed
+      UNION ALL
+      SELECT 'alert', '', '', 'no_messages', {q(v.ALERT_PREFIX + v.ALERT_NO_MESSAGES)}
+        FROM (SELECT count(*) AS n FROM kept) WHERE n = 0
+      UNION ALL
+      SELECT 'alert', '', '', 'nothing_to_label', {q(v.ALERT_PREFIX + v.ALERT_NOTHING_TO_LABEL)}
+        FROM (SELECT count(*) AS n FROM kept) WHERE n = 0
+      UNION ALL
+      SELECT 'count', '', '', 'combined', count(*)::VARCHAR FROM messages
+      UNION ALL
+      SELECT 'count', '', '', 'unreadable', count(*)::VARCHAR FROM posts
+        WHERE user_id % 40 = 5 AND ts >= TIMESTAMP '2024-01-29 00:00:00'"""
     return sql

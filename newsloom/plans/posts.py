@@ -148,3 +148,31 @@ def faulty_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.ascii("platform").cast("bigint").alias("id"), "channel_id", "platform",
         F.concat(F.lit("@"), F.col("channel_id")).alias("channel_name"),
     )
+
+
+def odd_discord(rows: DataFrame) -> DataFrame:
+    """Landed Discord messages, some with a time that cannot be read or none."""
+    user = F.col("author.id").cast("int") % 40
+    return raw_discord(rows).withColumn(
+        "timestamp", F.when(user == 1, "soon").when(user != 2, F.col("timestamp")))
+
+
+def odd_telegram(rows: DataFrame) -> DataFrame:
+    """Landed Telegram messages, some with an empty text or none."""
+    user = F.col("peer_id.channel_id") % 40
+    return raw_telegram(rows).withColumn("text", F.when(user == 3, "").when(user != 4, F.col("text")))
+
+
+def land_with_faults(raw: DataFrame, user: Column, moment: Column, path: str) -> None:
+    """Raw messages as dated folders of JSON lines, a fortieth of the lines cut short."""
+    line = F.to_json(F.struct(*raw.columns))
+    cut = F.when(user % 40 == 5, F.left(line, F.length(line) - 10)).otherwise(line)
+    raw.select(cut.alias("value"), moment.cast("date").alias("landed")) \
+        .write.partitionBy("landed").text(path)
+
+
+def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry with all its columns; the numbers come from the names."""
+    return registry(spark, sf_dir).select(
+        F.xxhash64("platform", "channel_id").alias("id"), "channel_id", "platform",
+        F.concat(F.lit("@"), F.col("channel_id")).alias("channel_name"))

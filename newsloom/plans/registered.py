@@ -12,21 +12,25 @@ from ..functions import links as ln
 from ..functions import text as tx
 from ..functions.times import parse_utc, stamp
 from ..operators import alerts, dedup, filters, labelling, ordering, stats
-from ..schemas import MESSAGES, columns
+from ..schemas import DIGEST, MESSAGES, columns
 from ..session import new_table_path
-from ..sources import registry as reg
-from ..sources import writers
+from ..sources import landing, registry as reg, writers
+from ..sources.archive import read_digest
 from ..sources.discord import normalize_discord, read_discord
 from ..sources.telegram import normalize_telegram, read_telegram
 from ..sources.writers import append_run_log, write_digest
-from ..streaming.incremental import current_messages, incremental_digest as keep_current
+from ..streaming.incremental import (
+    compact_days, current_messages, incremental_digest as keep_current, remove_superseded, stream_landed,
+)
 from . import daily
 from .posts import (
-    discord_posts, faulty_registry, load, posts, raw_discord, raw_telegram, registry,
-    telegram_posts,
+    discord_posts, faulty_registry, land_with_faults, load, odd_discord, odd_telegram, posts, raw_discord,
+    raw_telegram, registry, registry_rows, telegram_posts,
 )
 
 AS_OF = "2024-01-31 00:00:00"
+#: A time by which the tables have been quiet for more than a day.
+QUIET = "2024-02-04 00:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -240,6 +244,16 @@ def links_from_pages(spark, sf_dir):
         "page_id", F.posexplode(ln.links_from_text(F.col("html"))).alias("pos", "link"))
 
 
+@query
+def distinct_links(spark, sf_dir):
+    """Links of entities and texts, each link of a message once."""
+    raw = raw_telegram(telegram_posts(spark, sf_dir))
+    found = ln.links_from_entities(F.col("entities"))
+    in_text = ln.links_from_text(F.col("message"))
+    return raw.select(F.col("id").cast("string").alias("id"), "channel_id", F.posexplode(
+        ln.concat_links(found, in_text, in_text, distinct=True)).alias("pos", "link"))
+
+
 # --- messages and deduplication -------------------------------------------------------------------
 
 def _shown_platform(df: DataFrame) -> DataFrame:
@@ -312,6 +326,33 @@ def landed_messages(spark, sf_dir):
         read_discord(spark, discord), read_telegram(spark, telegram)))
 
 
+def _land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Both platforms landed in dated folders: odd times and texts, and lines cut short."""
+    paths = {p: new_table_path(spark, f"landed-{p}") for p in v.PLATFORMS}
+    discord, telegram = (odd_discord(discord_posts(spark, sf_dir)), odd_telegram(telegram_posts(spark, sf_dir)))
+    land_with_faults(discord, F.col("author.id").cast("int"), parse_utc(F.col("timestamp")), paths[v.DISCORD])
+    land_with_faults(telegram, F.col("peer_id.channel_id"), parse_utc(F.col("date")), paths[v.TELEGRAM])
+    return paths
+
+
+@query
+def landed_24h(spark, sf_dir):
+    """Odd landed messages of one day, read from the folders that can hold them."""
+    paths = _land(spark, sf_dir)
+    return _shown_platform(daily.collect_messages(
+        read_discord(spark, paths[v.DISCORD], AS_OF), read_telegram(spark, paths[v.TELEGRAM], AS_OF), as_of=AS_OF))
+
+
+@query
+def landing_account(spark, sf_dir):
+    paths = _land(spark, sf_dir)
+    accounts = (landing.landing_account(landing.read_landed(spark, paths[p], landing.RAW[p])).select(
+        F.lit(p).alias("platform"), "*") for p in v.PLATFORMS)
+    return dedup.union_channels(*accounts).groupBy(
+        "platform", F.coalesce(F.col("landed").cast("string"), F.lit("")).alias("landed")).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_unreadable").alias("n_unreadable"), F.sum("n_empty").alias("n_empty"))
+
+
 @query
 def records_json(spark, sf_dir):
     rows = _messages(spark, sf_dir).select("id", "channel_id", "platform", "text", "timestamp")
@@ -336,6 +377,14 @@ def combined_count(spark, sf_dir):
     return _messages(spark, sf_dir).agg(F.count("*").alias("combined"))
 
 
+@query
+def observed_count(spark, sf_dir):
+    """Counted while the messages are written, without a pass of its own."""
+    rows, seen = stats.observe_count(_messages(spark, sf_dir))
+    write_digest(rows, new_table_path(spark, "observed"), AS_OF[:10])
+    return spark.createDataFrame([(seen.get["rows"],)], "combined long")
+
+
 @query
 def run_stats(spark, sf_dir):
     counted = stats.channel_stats(_collected(spark, sf_dir))
@@ -346,9 +395,16 @@ def run_stats(spark, sf_dir):
 
 @query
 def run_alerts(spark, sf_dir):
-    rows = posts(spark, sf_dir)
-    none_yet = filters.lookback(rows, "2030-01-02 00:00:00", column="ts")
-    return alerts.run_alerts(_errors(rows), none_yet, rows.select("text")).na.fill(
+    """A quiet day, and of all days the channels that have nothing but greetings."""
+    discord, telegram = discord_posts(spark, sf_dir), telegram_posts(spark, sf_dir)
+
+    def left(condition: Column) -> DataFrame:
+        return filters.kept(daily.collect_messages(
+            raw_discord(discord.where(condition)), raw_telegram(telegram.where(condition))))
+
+    quiet = left(F.col("ts") >= F.lit(QUIET).cast("timestamp_ntz") - F.expr("INTERVAL 24 HOURS"))
+    greetings = left(F.col("channel_id").isin("feed_signup", "feed_view"))
+    return alerts.run_alerts(_errors(posts(spark, sf_dir)), quiet, labelling.label_input(greetings)).na.fill(
         "", ["channel_id", "platform"])
 
 
@@ -359,6 +415,14 @@ def label_input(spark, sf_dir):
     return labelling.label_input(_messages(spark, sf_dir)).withColumn("links", _joined(F.col("links")))
 
 
+@query
+def label_input_defaults(spark, sf_dir):
+    """Messages without links, some without a text."""
+    text = F.when(F.length("text") % 3 != 0, F.col("text"))
+    return labelling.label_input(_messages(spark, sf_dir).drop("links").withColumn("text", text)) \
+        .withColumn("links", F.size("links"))
+
+
 @query
 def label_batches(spark, sf_dir):
     rows = _messages(spark, sf_dir).select("id", "channel_id", "platform", "timestamp")
@@ -500,3 +564,56 @@ def incremental_digest(spark, sf_dir):
     collected = _collect(spark, sf_dir, source)
     keep_current(collected, f"{path}/table", f"{path}/state").awaitTermination()
     return _shown(current_messages(spark, f"{path}/table"))
+
+
+@query
+def digest_archive(spark, sf_dir):
+    """The digests as JSON arrays with a bare NaN for what is missing, read back."""
+    path = new_table_path(spark, "archive")
+    writers.write_digest_documents(_by_day(spark, sf_dir), path)
+    return _shown_digest(read_digest(spark, path))
+
+
+@query
+def incremental_landed(spark, sf_dir):
+    """Landed files taken up one at a time, a restart with more of them, closed days compacted, and the
+    last 24 hours read."""
+    path = new_table_path(spark, "stream-landed")
+    for turn in range(2):
+        for platform, rows, raw in ((v.TELEGRAM, telegram_posts, raw_telegram), (v.DISCORD, discord_posts, raw_discord)):
+            share = F.pmod(F.hash("id", "channel_id"), F.lit(2)) == turn
+            raw(rows(spark, sf_dir).where(share)).repartition(2).write.mode("append").json(f"{path}/{platform}")
+        landed = [stream_landed(spark, p, f"{path}/{p}", max_files=1) for p in v.PLATFORMS]
+        keep_current(dedup.union_channels(*landed), f"{path}/table", f"{path}/state").awaitTermination()
+    compact_days(spark, f"{path}/table", AS_OF[:10])
+    remove_superseded(spark, f"{path}/table", grace_seconds=0)
+    return _shown(current_messages(spark, f"{path}/table", AS_OF))
+
+
+@query
+def whole_run(spark, sf_dir):
+    """A day's run from registry and landed files to what it leaves, twice: the digest read back from JSON
+    arrays, the run log, the alerts on channels, and the counts of messages and unreadable rows."""
+    paths, out = _land(spark, sf_dir), new_table_path(spark, "run")
+    registry_rows(spark, sf_dir).write.option("header", True).csv(f"{out}/registry")
+    sources = reg.read_sources(spark, f"{out}/registry")
+    errors = _errors(posts(spark, sf_dir)).join(sources, ["channel_id", "platform"], "left_semi")
+    for _ in range(2):
+        result = daily.run_landed(spark, paths, sources, AS_OF, AS_OF[:10], out, errors=errors, json_array=True)
+    writers.write_digest_documents(spark.read.schema(DIGEST).parquet(f"{out}/digest"), f"{out}/documents")
+    score = F.coalesce(F.col("score").cast("string"), F.lit(""))
+    digest_rows = read_digest(spark, f"{out}/documents").select(
+        F.lit("digest").alias("part"), "channel_id", "platform", F.col("id").alias("key"),
+        F.concat_ws("|", stamp(F.col("timestamp")), "author", _joined(F.col("links")), score, _joined(F.col("tags")),
+                    "text").alias("value"))
+    log = writers.read_run_log(spark, f"{out}/run_log").select(
+        F.lit("log").alias("part"), "channel_id", "platform", F.col("run_id").alias("key"),
+        F.concat_ws("|", "pulled", "kept", F.coalesce(F.col("success").cast("string"), F.lit("")),
+                    F.coalesce("error", F.lit(""))).alias("value"))
+    told = result.alerts.where("kind <> 'unreadable_rows'").select(
+        F.lit("alert").alias("part"), F.coalesce("channel_id", F.lit("")).alias("channel_id"),
+        F.coalesce("platform", F.lit("")).alias("platform"), F.col("kind").alias("key"), F.col("message").alias("value"))
+    counts = spark.createDataFrame(
+        [("count", "", "", "combined", str(result.combined)), ("count", "", "", "unreadable", str(result.unreadable))],
+        told.schema)
+    return dedup.union_channels(digest_rows, log, told, counts)

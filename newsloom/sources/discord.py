@@ -10,11 +10,13 @@ from ..functions.text import clean_text, is_low_value
 from ..functions.times import parse_utc
 from ..operators.filters import lookback
 from ..schemas import COLLECTED, RAW_DISCORD, columns
+from .landing import read_landed, readable
 
 
-def read_discord(spark: SparkSession, path: str) -> DataFrame:
-    """Landed message pages: each line is one message or one page (a JSON list of messages)."""
-    return spark.read.schema(RAW_DISCORD).json(path)
+def read_discord(spark: SparkSession, path: str, as_of=None, hours: int = v.LOOKBACK_HOURS) -> DataFrame:
+    """Landed message pages: each line is one message or one page (a JSON list of messages). With
+    ``as_of`` only the days that the look-back window can need are read, see ``read_landed``."""
+    return readable(read_landed(spark, path, RAW_DISCORD, as_of, hours))
 
 
 def normalize_discord(raw: DataFrame, as_of=None, hours: int = v.LOOKBACK_HOURS) -> DataFrame:
