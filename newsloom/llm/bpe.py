@@ -7,8 +7,8 @@ each range, the smallest pair rank and its leftmost position. A merge takes the
 and updates the three leaves it changes (the pair itself, the part after it, the part before it),
 each in logarithmic time, so a match of n bytes takes n log n steps, however long it is.
 
-Each Python worker keeps the ids of matches it has met, in tables that start anew when full. The
-only other state is the vocabulary, sent to the executors once; its size is fixed.
+Each Python worker keeps the ids of matches it has met, in tables of bounded size. The only other
+state is the vocabulary, sent to the executors once; its size is fixed.
 """
 
 from __future__ import annotations
@@ -25,8 +25,11 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
 from .common import worker_model
 
-CACHED = 400_000
+#: Entries of a generation of a table, and the longest text kept there.
+CACHED = 250_000
 LONGEST_CACHED = 64
+# Fixed value: a pattern that starts a new match at every space with a non-space on at least one side.
+SPACED_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = 1 << 62
 _SPACE_WITHIN_SPACES = re.compile(r"\s \s").search
 
@@ -93,16 +96,20 @@ def encode_match(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Found(dict):
-    """A table that finds a value when it is first asked for, and starts anew when full."""
+    """A table that finds a value when it is first asked for. When full it becomes the older generation,
+    whose entries are forgotten unless they are met again before the next one is full."""
 
     def __init__(self, find, keeps):
         super().__init__()
-        self.find, self.keeps = find, keeps
+        self.find, self.keeps, self.old = find, keeps, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.find(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
         if self.keeps(key):
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -111,14 +118,13 @@ class _Found(dict):
 class Codec:
     """Encoder and decoder of one vocabulary and pattern.
 
-    With ``spaced`` the pattern must start a new match at every space that has a non-space on at
-    least one side, as those of the public byte-level vocabularies do. Texts are then cut at such
-    spaces first, and the ids of what stands between two of them are kept too.
+    With ``SPACED_PATTERN`` texts are cut at single spaces first, and the ids of what stands between two
+    of them are kept too; with any other pattern only those of its matches.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = True):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split = regex.compile(pattern).findall
-        self.spaced = spaced
+        self.spaced = pattern == SPACED_PATTERN
         self.match = _Found(
             lambda m: np.array(encode_match(m.encode("utf-8", "replace"), ranks), "<u4").tobytes(),
             lambda m: len(m) <= LONGEST_CACHED)

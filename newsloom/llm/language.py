@@ -21,6 +21,7 @@ with most rows is not gathered anywhere.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -180,12 +181,17 @@ def held_out(id_col: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % parts == 0
 
 
-def drop_unknown(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:
-    """The rows whose language is known, with the columns they came with. Languages are learned from
-    the labelled rows that are not held out."""
+def keep_known(docs: DataFrame, wanted: Collection[str] | None = None, text: str = "text", lang: str = "lang",
+               id_col: str = "doc_id") -> DataFrame:
+    """The rows whose language is known, and one of ``wanted`` if that is given, with the columns they
+    came with; where ``lang`` is null it becomes the predicted one. Languages are learned from the labelled
+    rows that are not held out; without any, rows with a letter stay and ``lang`` stays null.
+    """
     model = fit(docs.where(~held_out(F.col(id_col), 5)), text, lang, id_col)
     if not model.samples:
         return docs.where(F.col(text).rlike(r"\p{L}"))
     packed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    known = predict(packed, model, "_text").where(F.col("lang_pred") != UNKNOWN)
-    return known.select("_row.*")
+    found = predict(packed, model, "_text")
+    known = found.where(F.col("lang_pred") != UNKNOWN if wanted is None else F.col("lang_pred").isin(*wanted))
+    own = (F.coalesce(F.col("_row")[c], F.col("lang_pred")) if c == lang else F.col("_row")[c] for c in docs.columns)
+    return known.select(*(value.alias(c) for value, c in zip(own, docs.columns)))

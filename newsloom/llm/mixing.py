@@ -4,33 +4,34 @@ Every source has a weight, and the mix is as large as all sources together. Each
 share of the mix by weight, but no more than ``max_epochs`` times its own size: sources above that
 are clamped, and what they cannot take goes to the others by weight, until no source is above.
 
-A source's target then is so many whole repetitions of all its documents plus a fraction of one.
-The fraction is the beginning of a seeded shuffle of the source's documents, up to the last one that
-still fits into what the target asks for; what is then missing is filled from the next 64 documents
-of the shuffle, the largest that fits first. A source that still misses more than a thousandth of
-its target goes on along the whole rest of its shuffle and takes every document that fits into what
-is missing. The shuffle is the order of a hash of the seed and the id, so reruns agree.
-
-Per source there are only sums by the first three hex digits of that hash (4096 buckets). They tell
-in which bucket the fraction ends; only the documents of that bucket and, if it has fewer than 64
-after it, of the next ones are put in order. A source with a third of all rows is thus summed in
-the map tasks, and one 4096th of it is sorted. Going on runs in written rounds over the same buckets:
-each takes all up to the next document that does not fit, and leaves out of the next round
-whatever is longer than what is then missing.
+A source's target then is so many whole repetitions of all its documents plus a fraction of one. The
+fraction goes once along a seeded shuffle of the source's documents and takes each that fits into what
+is still missing. The shuffle is the order of a hash of the seed and the id, so reruns agree.
+
+The way along the shuffle is found in written rounds. A round takes all documents up to the first that
+does not fit any more, and leaves out whatever is longer than what was missing at its start. It needs
+sums by the first hex digits of the hash, as many as leave a few thousand documents to a bucket; only
+the bucket in which a source stops is put in order. Documents are known by hash and size then, their
+rows and texts are not moved. A source with a third of all rows is thus summed in the map tasks and
+sorted by small parts. What is missing at least halves about every other round, so the rounds grow with
+the logarithm of a target.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..operators.ordering import with_row_index
+from ..session import discard
 from .common import WORD_CHARS, Scratch
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
-FILL = 64
-SHORT = 0.001
+#: Documents of a source in a bucket of the shuffle, about.
+BUCKET_ROWS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -44,6 +45,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -
     sources and clamps those above the level; the level only rises, so the rounds end.
     """
     ranked = with_row_index(sources, lambda: [F.col("source").asc_nulls_last()], "place", "sources")
+    temporary = ranked.temporary
     ranked = ranked.withColumn(
         "weight", F.element_at(F.array(*map(F.lit, weights)),
                                (F.col("place") % len(weights) + 1).cast("int"))).drop("place")
@@ -63,7 +65,9 @@ def targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -
             break
         level = risen
     share = F.col("weight") * F.lit(float(level))
-    return ranked.withColumn("target", F.least(cap.cast("double"), share))
+    found = ranked.withColumn("target", F.least(cap.cast("double"), share))
+    found.temporary = temporary
+    return found
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
@@ -71,114 +75,79 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     """All columns of ``docs`` with ``size, source_size, target, copies, taken``.
 
     ``copies`` is how often the mix repeats the document and ``taken = copies * size``. A source's
-    taken words stay under its target, by at most ``SHORT`` of it or by less than the shortest document that the
-    fraction leaves out. Null text has size 0; null
-    sources form a source of their own, as do empty ones; null ids are shuffled as an empty text.
-    Rows equal in id and size are interchangeable. A mix of nothing is nothing. Columns of ``docs``
-    with one of the new names are replaced.
+    taken words stay under its target, by less than the shortest document that the fraction leaves out. Null
+    text has size 0; null sources form a source of their own, as do empty ones; null ids are shuffled
+    as an empty text. Rows equal in id and size are interchangeable. A mix of nothing is nothing.
+    Columns of ``docs`` with one of the new names are replaced.
     """
     scratch = Scratch(docs.sparkSession, "mix")
+    most = docs.groupBy(source).count().agg(F.max("count")).first()[0] or 0
+    digits = max(1, math.ceil(math.log(max(most / BUCKET_ROWS, 1), 16)))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     sized = docs.select(
         F.struct("*").alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        key.alias("key"), F.substring(key, 1, 3).alias("bucket"))
-    sums = scratch.save(
-        sized.groupBy("source", "bucket")
-        .agg(F.sum("size").alias("bucket_size"), F.count("*").alias("bucket_rows")), "buckets")
-    plan = scratch.save(
-        targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights,
-                max_epochs), "targets")
-
-    # the whole repetitions of each source, and where its fraction ends
+        key.alias("key"), F.substring(key, 1, digits).alias("bucket"))
+    shuffled = scratch.save(sized.groupBy("source", "bucket", "key", "size").agg(F.count("*").alias("n")), "shuffle")
+    buckets = shuffled.select("source", "bucket", (F.col("size") * F.col("n")).alias("words")) \
+        .groupBy("source", "bucket").agg(F.sum("words").alias("bucket_size"))
+    sources = targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_epochs)
+
+    # the whole repetitions of each source, and what is missing then
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    upto, source_rows = W.partitionBy("source").orderBy("bucket"), W.partitionBy("source")
-    ends_here = (F.col("before") < F.col("part")) & (
-        F.col("before") + F.col("bucket_size") >= F.col("part"))
-    buckets = (
-        sums.join(plan, sums.source.eqNullSafe(plan.source)).drop(plan.source)
-        .withColumn("whole", F.floor(epochs))
-        .withColumn("part", F.col("target") - F.floor(epochs) * F.col("source_size"))
-        .withColumn("before", F.sum("bucket_size").over(upto) - F.col("bucket_size"))
-        .withColumn("rows_before", F.sum("bucket_rows").over(upto) - F.col("bucket_rows"))
-        .withColumn("rows_to_end", F.max(F.when(
-            ends_here, F.col("rows_before") + F.col("bucket_rows"))).over(source_rows))
+    plan = scratch.save(sources.select(
+        F.col("source").alias("_from"), "source_size", "target", F.floor(epochs).alias("whole"),
+        (F.col("target") - F.floor(epochs) * F.col("source_size")).alias("part")), "targets")
+    discard(*sources.temporary)
+    rounds = _along_the_shuffle(shuffled, plan.select("_from", F.col("part").alias("rest")).where("rest > 0"), scratch)
+
+    # decisions go to the documents by source and bucket, so no source meets them in one task
+    ours = F.col("source").eqNullSafe(F.col("_from"))
+    decided = (
+        buckets.select("source", "bucket").join(plan, ours).drop("_from").join(rounds, ours, "left").drop("_from", "rest")
+        .withColumnsRenamed({"source": "_s", "bucket": "_b"})
     )
-    around_end = ends_here | (F.col("before") >= F.col("part")) & (
-        F.col("rows_before") < F.col("rows_to_end") + FILL)
-    buckets = scratch.save(buckets.select(
-        F.col("source").alias("_s"), F.col("bucket").alias("_b"), "source_size", "target", "whole",
-        "part", "before", F.coalesce(around_end, F.lit(False)).alias("around_end")), "plan")
-    planned = sized.join(
-        buckets, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
-    far = planned.where("NOT around_end").withColumn("more", F.col("before") < F.col("part"))
-    near, short = _fill(planned.where("around_end"), scratch)
-    decided = far.select(*near.columns).unionByName(near)
-    if not short.isEmpty():
-        decided = _go_on(decided, short, scratch)
+    size, place = F.col("size"), F.struct("key", "size")
+    joined = sized.join(decided, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+
+    def within(r):
+        return (size <= r["most"]) & (r["after"].isNull() | (place > r["after"])) & (
+            r["upto"].isNull() | (place < r["upto"]))
+
+    def at_stop(r):
+        return (place == r["upto"]) & (r["same"] > 0)
+
+    joined = joined.withColumn("tied", F.coalesce(F.exists("rounds", at_stop), F.lit(False)))
+    most_rows = joined.where("NOT tied").withColumn("more", F.coalesce(F.exists("rounds", within), F.lit(False)))
+    number = F.row_number().over(W.partitionBy("source", "key", "size").orderBy("size"))
+    tied = joined.where("tied").withColumn("number", number).withColumn("more", F.exists(
+        "rounds", lambda r: at_stop(r) & (F.col("number") <= r["same"])))
     made = ["size", "source_size", "target", "copies", "taken"]
     copies = (F.col("whole") + F.col("more").cast("int")).cast("int")
     own = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
-    return decided.select(
+    return most_rows.unionByName(tied.drop("number")).select(
         *own, "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"))
 
 
-def _fill(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Add ``more`` to the documents around the end of their source's fraction: true for those
-    before the end, and for those of the next 64 that fill what is missing. Also ``_from, rest`` of the
-    sources that then miss more than ``SHORT`` of their target."""
-    order = W.partitionBy("source").orderBy("key", "size").rowsBetween(W.unboundedPreceding, 0)
-    start = F.min("before").over(W.partitionBy("source"))
-    upto = start + F.sum("size").over(order)
-    ranked = (
-        rows.withColumn("upto", upto)
-        .withColumn("fits", F.col("upto") <= F.col("part"))
-        .withColumn("rank", F.when(~F.col("fits"), F.sum((~F.col("fits")).cast("int")).over(order)))
-    )
-    rest = F.min("part") - F.coalesce(F.max(F.when(F.col("fits"), F.col("upto"))), F.min("start"))
-    following = F.sort_array(F.collect_list(F.when(
-        F.col("rank") <= FILL, F.struct((-F.col("size")).alias("less"), "rank"))))
-    picked = F.aggregate(
-        "following", F.struct(F.col("rest").alias("rest"), F.array().cast("array<bigint>").alias("ranks")),
-        lambda state, doc: F.when(
-            -doc["less"] <= state["rest"],
-            F.struct((state["rest"] + doc["less"]).alias("rest"),
-                     F.concat(state["ranks"], F.array(doc["rank"])).alias("ranks")),
-        ).otherwise(state))
-    picks = scratch.save(
-        ranked.withColumn("start", start).groupBy("source")
-        .agg(rest.alias("rest"), following.alias("following"), F.min("target").alias("target"))
-        .select(F.col("source").alias("_from"), "target", picked.alias("picked"))
-        .select("_from", "target", "picked.rest", F.col("picked.ranks").alias("picked")), "picks")
-    short = picks.where(F.col("rest") > F.col("target") * SHORT).select("_from", "rest")
-    picks = picks.select("_from", "picked")
-    chosen = F.col("fits") | F.coalesce(F.array_contains("picked", F.col("rank")), F.lit(False))
-    return ranked.join(picks, F.col("source").eqNullSafe(F.col("_from"))).select(
-        "row", "source", "key", "bucket", "size", "source_size", "target", "whole", chosen.alias("more")), short
-
-
 _ROUND = "array<struct<most: double, after: struct<key: string, size: bigint>, " \
          "upto: struct<key: string, size: bigint>, same: bigint>>"
 
 
-def _go_on(decided: DataFrame, short: DataFrame, scratch: Scratch) -> DataFrame:
-    """Set ``more`` also for what the sources of ``short`` take along the rest of their shuffle.
+def _along_the_shuffle(shuffled: DataFrame, missing: DataFrame, scratch: Scratch) -> DataFrame:
+    """``_from, rest, rounds`` of the sources of ``missing``: what they take along their shuffle.
 
     A round is ``most``, what was missing at its start; ``after``, the place where the one before
     stopped; and ``upto``, the place of the first document of at most ``most`` words that does not
     fit any more, null if all do. Of rows at that place it takes ``same``.
     """
     place, ours = F.struct("key", "size"), F.col("source").eqNullSafe(F.col("_from"))
-    left = scratch.save(
-        decided.where(~F.col("more") & (F.col("size") > 0)).join(short, ours)
-        .where(F.col("size") <= F.col("rest"))
-        .groupBy("source", "bucket", "key", "size").agg(F.count("*").alias("n")), "left")
-    state = short.withColumns({"rounds": F.array().cast(_ROUND), "after": F.lit(None).cast(
+    state = missing.withColumns({"rounds": F.array().cast(_ROUND), "after": F.lit(None).cast(
         "struct<key: string, size: bigint>"), "open": F.lit(True)})
     size, same = F.col("size"), F.floor((F.col("rest") - F.col("passed")) / F.col("size"))
+    old = None
     while True:
-        fitting = left.join(state.where("open").select("_from", "rest", "after"), ours).where(
-            (size <= F.col("rest")) & (F.col("after").isNull() | (place > F.col("after"))))
+        fitting = shuffled.join(state.where("open").select("_from", "rest", "after"), ours).where(
+            (size > 0) & (size <= F.col("rest")) & (F.col("after").isNull() | (place > F.col("after"))))
         upto = F.sum("words").over(W.partitionBy("source").orderBy("bucket"))
         ends = (
             fitting.groupBy("source", "bucket").agg(F.sum(size * F.col("n")).alias("words"))
@@ -198,30 +167,16 @@ def _go_on(decided: DataFrame, short: DataFrame, scratch: Scratch) -> DataFrame:
             .withColumnRenamed("source", "_stopped")
         )
         last = F.struct(F.col("rest").alias("most"), "after", F.col("stop.upto").alias("upto"), F.col("stop.same").alias("same"))
-        state = scratch.save(
+        new = scratch.save(
             state.join(stops, F.col("_from").eqNullSafe(F.col("_stopped")), "left").select(
                 "_from", F.coalesce("stop.rest", "rest").alias("rest"),
                 F.when(F.col("open"), F.concat("rounds", F.array(last).cast(_ROUND))).otherwise(F.col("rounds")).alias("rounds"),
                 F.coalesce("stop.upto", "after").alias("after"), F.col("stop").isNotNull().alias("open")), "rounds")
+        if old is not None:
+            scratch.drop(old)
+        state = old = new
         if state.where("open").isEmpty():
-            break
-
-    def within(r):
-        return (size <= r["most"]) & (r["after"].isNull() | (place > r["after"])) & (
-            r["upto"].isNull() | (place < r["upto"]))
-
-    def at_stop(r):
-        return (place == r["upto"]) & (r["same"] > 0)
-
-    joined = decided.join(state.select("_from", "rounds"), ours, "left").withColumns({
-        "candidate": ~F.col("more") & F.col("rounds").isNotNull() & (size > 0)})
-    joined = joined.withColumn("tied", F.col("candidate") & F.exists("rounds", at_stop))
-    found = joined.where("NOT coalesce(tied, false)").withColumn("more", F.col("more") | F.coalesce(
-        F.col("candidate") & F.exists("rounds", within), F.lit(False)))
-    tied = joined.where("tied").withColumn("number", F.row_number().over(
-        W.partitionBy("source", "key", "size").orderBy("size"))).withColumn("more", F.exists(
-            "rounds", lambda r: at_stop(r) & (F.col("number") <= r["same"])))
-    return found.select(*decided.columns).unionByName(tied.select(*decided.columns))
+            return state.select("_from", "rest", "rounds")
 
 
 def repeat_by_mix(docs: DataFrame, **options) -> DataFrame:

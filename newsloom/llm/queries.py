@@ -131,30 +131,18 @@ WITH RECURSIVE d AS (
 ), t AS (
   SELECT *, least((3 * source_size)::DOUBLE, weight * (SELECT max(level) FROM rounds)) AS target FROM s
 ), p AS (
-  SELECT row_number() OVER () AS row, d.*, source_size, target,
-         coalesce(floor(target / nullif(source_size, 0)), 0) AS whole,
+  SELECT d.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0) AS whole,
          target - coalesce(floor(target / nullif(source_size, 0)), 0) * source_size AS part,
-         sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) AS upto
+         row_number() OVER (PARTITION BY d.source ORDER BY key, size) AS n
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-), r AS (
-  SELECT *, row_number() OVER (PARTITION BY source, upto <= part ORDER BY key, size) AS rank
-  FROM p WHERE part > 0
-), missing AS (
-  SELECT source, any_value(part) - coalesce(max(upto) FILTER (WHERE upto <= part), 0) AS rest
-  FROM r GROUP BY source
-), f AS (
-  SELECT row, source, size, row_number() OVER (PARTITION BY source ORDER BY size DESC, rank) AS n
-  FROM r WHERE upto > part AND rank <= 64
-), greedy AS (
-  SELECT source, rest, 0::BIGINT AS n, NULL::BIGINT AS row FROM missing
+), along AS (
+  SELECT source, 0::BIGINT AS n, any_value(part) AS rest, false AS fits FROM p GROUP BY source
   UNION ALL
-  SELECT g.source, CASE WHEN f.size <= g.rest THEN g.rest - f.size ELSE g.rest END, f.n,
-         CASE WHEN f.size <= g.rest THEN f.row END
-  FROM greedy g JOIN f ON f.source IS NOT DISTINCT FROM g.source AND f.n = g.n + 1
+  SELECT p.source, p.n, CASE WHEN size <= rest THEN rest - size ELSE rest END, size <= rest
+  FROM along a JOIN p ON p.source IS NOT DISTINCT FROM a.source AND p.n = a.n + 1
 )
-SELECT doc_id, size, source_size, target,
-       (size * (whole + (part > 0 AND upto <= part OR row IN (SELECT row FROM greedy WHERE row IS NOT NULL))::INT))::BIGINT AS taken
-FROM p
+SELECT doc_id, size, source_size, target, (size * (whole + (part > 0 AND fits)::INT))::BIGINT AS taken
+FROM p JOIN along a ON p.source IS NOT DISTINCT FROM a.source AND p.n = a.n
 """
 
 OP10_SQL = """

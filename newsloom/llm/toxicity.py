@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
+from .common import worker_model
+
 SAMPLE_ROWS = 8000
 BUCKETS = 1 << 18
 PREFIX = 5
@@ -189,9 +191,6 @@ class Scorer:
         return scores
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def predict(docs: DataFrame, links: list[Link], text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``<category>_score`` from 0 to 1 and ``<category>_pred`` for each category.
 
@@ -207,10 +206,7 @@ def predict(docs: DataFrame, links: list[Link], text: str = "text") -> DataFrame
 
     def run(batches):
         chain = shared.value
-        if id(chain) not in _scorers:
-            _scorers.clear()
-            _scorers[id(chain)] = Scorer(chain)
-        scorer = _scorers[id(chain)]
+        scorer = worker_model(chain, Scorer)
         for batch in batches:
             scores = [scorer.score(t) for t in batch.column("text").to_pylist()]
             columns = [batch.column("row")]

@@ -5,14 +5,17 @@ import importlib.util
 import math
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from newsloom.llm import lm, mixing, queries, toxicity
+from newsloom.llm import language, lm, mixing, queries, toxicity
+from newsloom.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 TABLES = os.path.isdir(SF)
@@ -54,13 +57,86 @@ def test_lm_base_and_model(spark, documents, odd_rows):
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
 
 
-def test_lm_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    model = lm.Model(0, 0, np.arange(lm.ENDINGS) % lm.GROUPS, {}, np.zeros(lm.CLASSES),
-                     rng.normal(size=lm.CLASSES).astype("f4"),
-                     rng.normal(size=(lm.TABLES, lm.BUCKETS, lm.CLASSES)).astype("f4"))
-    logs = lm._log_softmax(model, rng.integers(0, lm.BUCKETS, (lm.TABLES, 50)))
-    assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-4)
+def small_model(seed=1):
+    """A block of a small corpus and a model with random weights."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}{e}" for i in range(60) for e in ("a", "ing")]
+    texts = [[rng.choice(vocabulary[: 5 + 20 * (i % 7)]).encode() for _ in range(rng.randint(0, 30))] for i in range(60)]
+    block = lm._Block()
+    for i, words_ in enumerate(texts):
+        block.add(i, i % 5 == 0, words_, 1)
+    row = next(lm._rows([block.row(pa.int64())]))
+    row["totals"] = row["counts"].copy()
+    gen = np.random.default_rng(seed)
+    weights = lambda n: gen.normal(size=(lm.TABLES, lm.BUCKETS, n)).astype("f4")
+    top = np.argsort(-row["totals"])[:lm.HEADS + 1]
+    heads = {int(row["hashes"][i]): 2 + n for n, i in enumerate([i for i in top if i][:lm.HEADS])}
+    total, distinct = int(row["totals"].sum()), int((row["totals"] > 0).sum())
+    model = lm.Model(total, distinct, np.arange(lm.ENDINGS) % lm.GROUPS, heads, None, gen.normal(size=lm.CLASSES).astype("f4"),
+                     weights(lm.CLASSES), gen.normal(size=(lm.CLASSES, lm.PARTS)).astype("f4"), weights(lm.PARTS))
+    endings = np.frombuffer(row["endings"], np.uint8)
+    classes, parts = lm._classes(model, row["totals"], row["hashes"], endings, False), lm._parts(row["hashes"])
+    model.mass = np.zeros((lm.CLASSES, lm.PARTS))
+    np.add.at(model.mass, (classes, parts), row["totals"])
+    return texts, [w for w in block.words], row, model, classes, parts
+
+
+def softmax(x):
+    x = np.exp(np.asarray(x, float) - np.max(x))
+    return x / x.sum()
+
+
+def test_lm_scores_against_brute_force():
+    texts, vocabulary, row, model, classes, parts = small_model()
+    number = {w: i for i, w in enumerate(vocabulary)}
+    mix, top = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    hashed = {w: int(row["hashes"][i]) & top for w, i in number.items()}
+
+    def probabilities(before, second):
+        """Of every class, and of every part of every class of many words."""
+        keys = [before * mix & top, (second ^ 0x5BD1) * mix & top, ((before * mix & top) ^ second) * mix & top]
+        of_class = softmax(model.bias + sum(model.weights[i][k >> 51] for i, k in enumerate(keys)))
+        of_part = {}
+        for c in range(2 + lm.HEADS, lm.CLASSES):
+            rows = [((k ^ (c + 1)) * mix & top) >> 51 for k in keys]
+            of_part[c] = softmax(model.part_bias[c] + sum(model.part_weights[i][r] for i, r in enumerate(rows)))
+        return of_class, of_part
+
+    def of_word(w, found):
+        i, (of_class, of_part) = number[w], found
+        c = classes[i]
+        share = 1.0 if c < 2 + lm.HEADS else of_part[c][parts[i]] * max(row["totals"][i], 1) / max(model.mass[c, parts[i]], 1)
+        return of_class[c] * share
+
+    known, base, scores = lm._score(row, model)
+    for n, words_ in enumerate(texts):
+        log, slow_base, history = 0.0, 0.0, [1, 2]
+        for w in [*words_, b" "]:
+            log += math.log10(of_word(w, probabilities(*history)))
+            slow_base += math.log10((row["totals"][number[w]] + 0.1) / (model.total + 0.1 * (model.distinct + 1)))
+            history = [hashed[w], history[0]]
+        assert scores[n] == pytest.approx(log, abs=1e-3) and base[n] == pytest.approx(slow_base, abs=1e-6)
+        assert known[n] == sum(row["totals"][number[w]] > 0 for w in [*words_, b" "])
+    for history in ((1, 2), (hashed[vocabulary[3]], hashed[vocabulary[9]])):
+        found = probabilities(*history)
+        unseen = found[0][lm._UNSEEN]
+        empty = sum(found[0][c] for c in range(1, lm.CLASSES) if not (classes == c).any())
+        missing = sum(found[0][c] * sum(p for k, p in enumerate(found[1][c]) if not ((classes == c) & (parts == k)).any())
+                      for c in range(2 + lm.HEADS, lm.CLASSES) if (classes == c).any())
+        whole = sum(of_word(w, found) for w in vocabulary if row["totals"][number[w]] > 0)
+        assert whole + unseen + empty + missing == pytest.approx(1, abs=1e-5)
+
+
+def test_lm_second_factor_learns(spark, documents):
+    """Which word of a class follows depends on the word before: only the second softmax can tell."""
+    rng = random.Random(2)
+    pairs = [(f"key{i}", f"val{(i * 7) % 40}x") for i in range(40)]
+    rows = [(i, " ".join(w for _ in range(40) for w in rng.choice(pairs)), "en", "s") for i in range(400)]
+    def gain(**options):
+        held = [r for r in lm.score(documents(*rows), block_bytes=8_000, **options).collect() if r["held_out"]]
+        return sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
+
+    assert gain() > gain(rounds=0) + 0.1  # log10 for each token
 
 
 def test_lm_without_training_documents_and_empty(spark, documents):
@@ -87,6 +163,24 @@ def slow_targets(sizes, weights=(5, 2, 1), epochs=3):
     return {s: min(epochs * sizes[s], weight[s] * high) for s in names}
 
 
+def slow_mix(rows):
+    """``(id, size, source) -> taken`` by going along each source's shuffle document by document."""
+    key = lambda i: hashlib.md5(f"mix-1:{'' if i is None else i}".encode()).hexdigest()
+    by_source = {}
+    for i, text, source in rows:
+        by_source.setdefault(source, []).append((key(i), len((text or "").encode().split()), i))
+    goals, out = slow_targets({s: sum(d[1] for d in docs) for s, docs in by_source.items()}), Counter()
+    for source, docs in by_source.items():
+        total = sum(d[1] for d in docs)
+        whole = math.floor(goals[source] / total + 1e-9) if total else 0
+        rest = goals[source] - whole * total
+        for _, size, i in sorted(docs, key=lambda d: d[:2]):
+            fits = size <= rest + 1e-6
+            rest -= size * fits
+            out[i, size, source] += size * (whole + fits)
+    return out
+
+
 def check_mix(rows, got):
     size = {}
     for i, text, _, source in rows:
@@ -98,6 +192,10 @@ def check_mix(rows, got):
         assert r["source_size"] == size[s] and r["target"] == pytest.approx(targets[s], rel=1e-9, abs=1e-6)
         assert r["taken"] == r["copies"] * r["size"] and r["taken"] <= 3 * r["size"]
         taken[s] += r["taken"]
+    by_row = Counter()
+    for r in got:
+        by_row[r["doc_id"], r["size"], r["source"]] += r["taken"]
+    assert by_row == slow_mix([(i, text, source) for i, text, _, source in rows])
     for s in size:
         assert taken[s] <= targets[s] + 1e-6
         room = [r["size"] for r in got if r["source"] == s and r["copies"] < min(3, math.ceil(targets[s] / max(1, size[s])))]
@@ -131,7 +229,9 @@ def test_mix_goes_on_past_a_document_that_does_not_fit(spark, documents):
     rows = [(first, "w " * 60_000, "en", "z")]                       # the shuffle begins with it
     rows += [(i, "w " * (25 + i % 50), "en", "z") for i in others]
     rows += [(others[500], "w " * 40, "en", "z")] * 3 + [(10_000, "w " * 40_000, "en", "a")]
-    got = [r for r in mixing.mix(documents(*rows)).collect() if r["source"] == "z"]
+    everything = mixing.mix(documents(*rows)).collect()
+    check_mix(rows, everything)
+    got = [r for r in everything if r["source"] == "z"]
     rest = got[0]["target"]
     assert rest < 60_000 and all(r["copies"] in (0, 1) for r in got)
     rest -= sum(r["taken"] for r in got)
@@ -169,6 +269,82 @@ def test_chain_learns_and_passes_on(spark, documents, odd_rows):
     assert not got[5000]["insult_pred"] and not got[5001]["insult_pred"]
 
 
+def test_chain_against_brute_force(monkeypatch):
+    """Out-of-fold probabilities and the chain, by plain gradient steps over dense tables."""
+    monkeypatch.setattr(toxicity, "STEPS", 3000)
+    rng = np.random.default_rng(6)
+    n, d = 120, 9
+    x = (rng.random((n, d)) < 0.4).astype(float)
+    first = (x[:, 0] + 0.6 * rng.random(n) > 0.8).astype(float)
+    second = (first + x[:, 1] + 0.8 * rng.random(n) > 1.6).astype(float)
+    second[rng.random(n) < 0.1] = np.nan
+    folds = rng.integers(0, toxicity.FOLDS, n)
+    documents = [np.flatnonzero(row) for row in x]
+    links = toxicity.fit_chain(documents, {"a": first, "b": second}, folds)
+
+    def slow_fit(features, dense, target, include):
+        w, v, b, rows = np.zeros(d), np.zeros(dense.shape[1]), 0.0, np.flatnonzero(include)
+        for _ in range(30_000):
+            p = 1 / (1 + np.exp(-(features[rows] @ w + dense[rows] @ v + b)))
+            error = (p - target[rows]) / len(rows)
+            w = w - 0.5 * features[rows].T @ error
+            w = np.sign(w) * np.maximum(np.abs(w) - 0.5 * toxicity.PENALTY, 0)
+            v, b = v - 0.5 * dense[rows].T @ error, b - 0.5 * error.sum()
+        return w, v, b
+
+    chain = np.zeros((n, 0))
+    for link, label in zip(links, (first, second)):
+        known = ~np.isnan(label)
+        inside = np.zeros(n)
+        for fold in range(toxicity.FOLDS):
+            w, v, b = slow_fit(x, chain, np.nan_to_num(label), known & (folds != fold))
+            out = folds == fold
+            inside[out] = 1 / (1 + np.exp(-(x[out] @ w + chain[out] @ v + b)))
+        w, v, b = slow_fit(x, chain, np.nan_to_num(label), known)
+        got = np.array([link.weights.get(i, 0.0) for i in range(d)])
+        slow = 1 / (1 + np.exp(-(x @ w + chain @ v + b)))
+        fast = 1 / (1 + np.exp(-(x @ got + chain @ np.array(link.chain) + link.bias)))
+        assert np.abs(slow - fast).max() < 0.02
+        assert link.threshold == pytest.approx(toxicity._threshold(label[known] > 0, inside[known]), abs=0.02)
+        chain = np.column_stack((chain, inside))
+
+
+def test_predictions_against_brute_force(spark, documents, odd_rows):
+    rng = random.Random(8)
+    words = ["alpha", "beta", "gammadelta", "épsilon", "zetazeta", "eta"]
+    links = [toxicity.Link("a", {toxicity._bucket(w): rng.uniform(-2, 2) for w in words}, [], -0.3, 0.4),
+             toxicity.Link("b", {toxicity._bucket("gamma*"): 1.5, toxicity._bucket("eta"): -1}, [2.0], 0.1, 0.7)]
+    rows = odd_rows + [(100 + i, " ".join(rng.choice([*words, "Alpha,", "other"]) for _ in range(rng.randint(0, 9))), "en", "s")
+                       for i in range(60)]
+    got = Counter((r["doc_id"], round(r["a_score"], 9), r["a_pred"], round(r["b_score"], 9), r["b_pred"])
+                  for r in toxicity.predict(documents(*rows), links).collect())
+    expected = Counter()
+    for i, text, *_ in rows:
+        scores = []
+        for link in links:
+            found = set()
+            for word in set(re.findall(r"[^\W_]+", (text or "").lower())):
+                found |= {word, word[:5] + "*"} if len(word) > 5 else {word}
+            z = link.bias + sum(c * s for c, s in zip(link.chain, scores))
+            z += sum(link.weights.get(f, 0.0) for f in {zlib.crc32(f.encode("utf-8", "replace")) % toxicity.BUCKETS for f in found})
+            scores.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+        expected[i, round(scores[0], 9), scores[0] >= 0.4, round(scores[1], 9), scores[1] >= 0.7] += 1
+    assert got == expected
+
+
+def test_known_languages_are_kept_and_named(spark, documents, odd_rows):
+    rows = sentences(200) + [(1000 + i, text, "fr" if "la" in text.split() else None, "s") for i, text, *_ in sentences(50, 9)]
+    rows = [(i, text, "fr" if i < 200 and i % 2 == 0 else lang, s) for i, text, lang, s in rows] + odd_rows
+    table = documents(*rows)
+    kept = language.keep_known(table)
+    assert kept.columns == table.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == Counter((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+    assert all(r["lang"] for r in kept.collect())
+    assert {r["lang"] for r in language.keep_known(table, ["fr"]).where("doc_id BETWEEN 20 AND 199").collect()} == {"fr"}
+    assert language.keep_known(documents().limit(0)).count() == 0
+
+
 def test_chain_without_labels(spark, documents, odd_rows):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     chain = toxicity.fit(documents(*odd_rows), none, ["toxic"])
@@ -182,7 +358,8 @@ def test_chain_without_labels(spark, documents, odd_rows):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     found = queries.queries()[name](spark, SF)
@@ -216,17 +393,13 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     kept = {i: (text, source) for i, text, source in last.values() if find(i) == i}
+    before = set(os.listdir(shared_dir(spark) + "/newsloom"))
     got = corpus_pipeline.run(spark, SF).collect()
+    left = set(os.listdir(shared_dir(spark) + "/newsloom")) - before
+    assert len(left) == 1 and all(len(os.listdir(f"{shared_dir(spark)}/newsloom/{name}")) == 1 for name in left)
     copies = Counter(r["doc_id"] for r in got)
-    assert set(copies) <= set(kept) and max(copies.values()) <= 3
-    sizes = Counter()
-    for text, source in kept.values():
-        sizes[source] += len(text.encode().split())
-    targets, taken = slow_targets(sizes), Counter()
-    for i, n in copies.items():
-        taken[kept[i][1]] += n * len(kept[i][0].encode().split())
-    assert all(taken[s] <= targets[s] + 1e-6 for s in sizes)
-    assert sum(taken.values()) > 0.9 * sum(sizes.values())
+    taken = slow_mix([(i, text, source) for i, (text, source) in kept.items()])
+    assert copies == Counter({i: n // size for (i, size, _), n in taken.items() if n})
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     for r in got:
