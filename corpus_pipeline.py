@@ -1,6 +1,6 @@
 """A training-data pipeline over ``documents``: five stages, each one of the dealt operators.
 
-Language ID drops documents without a known language, exact deduplication leaves one row of equal
+Language ID drops documents without a known language and names the language of the others, exact deduplication leaves one row of equal
 texts, SimHash near-deduplication one row of each group of near texts, mixing repeats or leaves out
 rows until the sources have their target weights, and the last stage turns texts into token ids.
 Every stage reads all that its predecessor kept, as Parquet, and all but the last return the
@@ -13,11 +13,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.llm import bpe, exact, language, mixing, simhash
-from newsloom.llm.common import Scratch
+from newsloom.llm.common import Scratch, scratch_scope
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.drop_unknown(docs)
+    return language.keep_known(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again, and what a
+    stage kept there besides is removed."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        before, docs = docs, scratch.save(stage(spark, docs, sf_dir), name)
+        with scratch_scope():
+            before, docs = docs, scratch.save(stage(spark, docs, sf_dir), name)
         if hasattr(before, "scratch_path"):
             scratch.drop(before)
     return docs

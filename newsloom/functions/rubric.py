@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from . import fixed as v
 
-# Words per topic, following the topic definitions: announcements, votes, products, complaints,
+# Words per topic, following the topic definitions: announcements, votes, products, complaints,
 # fraud, explanations, weaknesses. A word ending in ``*`` also matches longer words.
 DEFAULT_RUBRIC = {
     "news": ("announc*", "listing*", "partnership*", "hack*", "audit*"),
