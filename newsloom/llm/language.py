@@ -11,11 +11,11 @@ Texts are lower-cased and reduced to their runs of letters. Each run is parsed w
 around it, and phrases do not cross from one run to the next; a run's numbers of phrases thus do
 not depend on where it stands, and each worker keeps those it has met. All of a text is parsed.
 
-The automata are fitted on a bounded sample: of each language the ``SAMPLE_DOCS`` labelled documents
-first in the order of a hash of their id, up to ``SAMPLE_DOC_CHARS`` characters of each and
+The automata are fitted on a bounded sample: of each language the ``SAMPLE_DOCS`` labelled texts
+first in the order of a hash of their text, up to ``SAMPLE_DOC_CHARS`` characters of each and
 ``SAMPLE_CHARS`` letters in all. That sample is the only thing broadcast, and it does not grow with
-the table, only with the number of languages. The limit is applied in the map tasks, so a language
-with most rows is not gathered anywhere.
+the table, only with the number of languages. Texts are chosen by their hashes, counted in the map
+tasks first; only those chosen are gathered.
 """
 
 from __future__ import annotations
@@ -127,16 +127,19 @@ class Model:
     samples: dict[str, str]
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
         sample_docs: int = SAMPLE_DOCS, doc_chars: int = SAMPLE_DOC_CHARS,
         sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Sample text for every non-null language; no labelled rows give a model without languages."""
+    """Sample text for every non-null language; no labelled rows give a model without languages. Equal
+    texts of a language count as one, so copies do not fill its sample."""
     rows = labelled.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        F.col(lang).alias("lang"), F.col(text).substr(1, doc_chars).alias("text"),
-        F.xxhash64(F.col(id_col).cast("string"), F.xxhash64(text)).alias("h"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    order = W.partitionBy("lang").orderBy("h")
-    first = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    hashes = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))
+    sizes = {r[0]: r[1] for r in hashes.groupBy("lang").agg(F.sum("n")).collect()}
+    order = W.partitionBy("lang").orderBy(F.xxhash64("h"))
+    chosen = hashes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).drop("n")
+    first = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "rank").agg(
+        F.min(F.col("text").substr(1, doc_chars)).alias("text"))
     texts: dict[str, str] = {}
     for row in sorted(first.collect(), key=lambda r: (r["lang"], r["rank"])):
         have = texts.get(row["lang"], " ")
@@ -187,7 +190,7 @@ def keep_known(docs: DataFrame, wanted: Collection[str] | None = None, text: str
     came with; where ``lang`` is null it becomes the predicted one. Languages are learned from the labelled
     rows that are not held out; without any, rows with a letter stay and ``lang`` stays null.
     """
-    model = fit(docs.where(~held_out(F.col(id_col), 5)), text, lang, id_col)
+    model = fit(docs.where(~held_out(F.col(id_col), 5)), text, lang)
     if not model.samples:
         return docs.where(F.col(text).rlike(r"\p{L}"))
     packed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
@@ -181,7 +182,7 @@ _CUT = [{"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed",
 # Characters whose case, composition and class are the same for every Unicode version, and the pieces
 # of text that has no others, in lower case.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7EÀ-ÖØ-öø-ÿŒœ¡¿«»“”‘’„–—…€]*")
-_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿœ]+|[0-9]|[^\s0-9a-zß-öø-ÿœ]+")
+_PLAIN_PIECES = r"[a-zß-öø-ÿœ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t\n\r 0-9a-zß-öø-ÿœ]+"
 _SPACE = re.compile(r"[\t\n\r ]")
 
 
@@ -233,18 +234,28 @@ class WordEncoder:
                 self.known.young.update(zip(line, ids))
 
     def _by_pieces(self, texts: list[str]) -> list[bytes]:
-        """The ids of lower-cased texts without other characters than ``_PLAIN``. What is new in any of
-        them goes to the library together."""
+        """The ids of lower-cased texts without other characters than ``_PLAIN``. Pieces are told apart with
+        Arrow and looked up once for all of the texts; what is new goes to the library together."""
+        spaced = pc.replace_substring_regex(pa.array(texts, pa.string()), pattern=_PLAIN_PIECES, replacement=r"\0 ")
+        split = pc.ascii_split_whitespace(spaced)
+        coded = split.flatten().dictionary_encode()
         self.known.turn()
-        young = self.known.young
-        pieces = [_PLAIN_PIECES.findall(t) for t in texts]
-        fresh = set().union(*pieces).difference(young)
+        young, pieces = self.known.young, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = [p for p in pieces if p and p not in young]
         self._learn(self.known.recall(fresh))
-        out = [b"".join(map(young.__getitem__, some)) for some in pieces]
+        ids = [young[p] if p else b"" for p in pieces]
         for piece in fresh:
             if len(piece) > LONGEST_CACHED:
                 del young[piece]
-        return out
+        # the ids of all pieces, and where those of each occurrence lie among them
+        pool, lengths = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        codes = coded.indices.to_numpy()
+        counts = lengths[codes]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        start = (np.cumsum(lengths) - lengths)[codes] - upto[:-1]
+        found = pool[np.repeat(start, counts) + np.arange(upto[-1])].tobytes()
+        ends = (4 * upto[split.offsets.to_numpy()]).tolist()
+        return [found[i:j] for i, j in zip(ends, ends[1:])]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian unsigned 32-bit integers."""
