@@ -31,10 +31,10 @@ class Scratch:
         self.root = f"{shared_dir(spark).rstrip('/')}/newsloom/{tag}-{self.run}"
         self._made = 0
 
-    def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    def save(self, df: DataFrame, name: str, codec: str = "zstd", by: tuple[str, ...] = ()) -> DataFrame:
         self._made += 1
         path = f"{self.root}/{self._made:03d}-{name}"
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).partitionBy(*by).parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved.scratch_path = path
         return saved
