@@ -100,14 +100,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     discard(*sources.temporary)
     rounds = _along_the_shuffle(shuffled, plan.select("_from", F.col("part").alias("rest")).where("rest > 0"), scratch)
 
-    # decisions go to the documents by source and bucket, so no source meets them in one task
-    ours = F.col("source").eqNullSafe(F.col("_from"))
-    decided = (
-        buckets.select("source", "bucket").join(plan, ours).drop("_from").join(rounds, ours, "left").drop("_from", "rest")
-        .withColumnsRenamed({"source": "_s", "bucket": "_b"})
-    )
+    # one row for each source, written so that the planner knows how small it is and moves no texts
+    decided = scratch.save(plan.join(rounds.select(F.col("_from").alias("_s"), "rounds"), F.col("_s").eqNullSafe(
+        F.col("_from")), "left").drop("_s"), "decided")
     size, place = F.col("size"), F.struct("key", "size")
-    joined = sized.join(decided, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+    joined = sized.join(decided, F.col("source").eqNullSafe(F.col("_from")))
 
     def within(r):
         return (size <= r["most"]) & (r["after"].isNull() | (place > r["after"])) & (
