@@ -70,7 +70,7 @@ def small_model(seed=1):
     gen = np.random.default_rng(seed)
     weights = lambda n: gen.normal(size=(lm.TABLES, lm.BUCKETS, n)).astype("f4")
     top = np.argsort(-row["totals"])[:lm.HEADS + 1]
-    heads = {int(row["hashes"][i]): 2 + n for n, i in enumerate([i for i in top if i][:lm.HEADS])}
+    heads = {(int(row["hashes"][i]) >> 32, int(row["totals"][i])): 2 + n for n, i in enumerate([i for i in top if i][:lm.HEADS])}
     total, distinct = int(row["totals"].sum()), int((row["totals"] > 0).sum())
     model = lm.Model(total, distinct, np.arange(lm.ENDINGS) % lm.GROUPS, heads, None, gen.normal(size=lm.CLASSES).astype("f4"),
                      weights(lm.CLASSES), gen.normal(size=(lm.CLASSES, lm.PARTS)).astype("f4"), weights(lm.PARTS))
