@@ -23,8 +23,8 @@ How it runs:
 2. A word's training count is a sum over the blocks' words, added up in the map tasks first. The sums
    are joined back to the blocks' words; a join's skewed partitions are split, so a word that every
    block has is no burden for one task.
-3. Weights are trained in ``ROUNDS`` rounds over disjoint shares of all training blocks; batches train the
-   two softmaxes in turn. In a round every task starts from the broadcast weights, makes gradient
+3. Weights are trained in ``ROUNDS`` rounds over disjoint shares of all training blocks; every training
+   token trains the softmax over classes and, in a class of many tokens, that over parts. In a round every task starts from the broadcast weights, makes gradient
    steps over its blocks, and returns its weights and how often it used each row; these are added up
    as a tree deep enough that a few states reach the driver, and averaged by use. The weights have a
    fixed size (about 6 MB), whatever the data; what grows with the data are the counts.
@@ -35,7 +35,9 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import defaultdict
 from dataclasses import dataclass, replace
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -82,11 +84,10 @@ def _ending(word: bytes) -> int:
 class _Block:
     def __init__(self):
         self.ids, self.held, self.codes, self.lengths, self.bytes = [], [], [], [], 0
-        self.words: dict[bytes, int] = {END: 0}
+        self.words: dict[bytes, int] = defaultdict(count(1).__next__, {END: 0})  # a new word gets the next number
 
     def add(self, doc_id, held: bool, words: list[bytes], size: int) -> None:
-        table = self.words
-        codes = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int32, len(words))
+        codes = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
         self.codes += (codes, np.zeros(1, np.int32))
         self.ids.append(doc_id)
         self.held.append(held)
@@ -100,11 +101,11 @@ class _Block:
         counts = np.bincount(codes[learned], minlength=len(words))
         endings = np.fromiter(map(_ending, words), np.uint8, len(words))
         together = np.zeros((ENDINGS, ENDINGS))
-        ends = np.cumsum(lengths)
-        for a, b, held in zip(ends - lengths, ends, self.held):
-            if not held and b - a > 1:
-                share = np.bincount(endings[codes[a:b - 1]], minlength=ENDINGS) / (b - a - 1)
-                together += np.outer(share, share)
+        ends, of = np.cumsum(lengths), endings[codes]
+        learn = [(a, b) for a, b, held in zip(ends - lengths, ends, self.held) if not held and b - a > 1]
+        for at in range(0, len(learn), 1024):
+            shares = np.stack([np.bincount(of[a:b - 1], minlength=ENDINGS) / (b - a - 1) for a, b in learn[at:at + 1024]])
+            together += shares.T @ shares
         hashes = np.fromiter(map(_hash, words), np.int64, len(words))
         return pa.RecordBatch.from_arrays(
             [pa.array([self.ids], pa.list_(id_type)), pa.array([self.held], pa.list_(pa.bool_())),
@@ -269,37 +270,40 @@ def _log_probability(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def _step(weights: np.ndarray, used: np.ndarray, rows: np.ndarray, step: np.ndarray) -> None:
     """Move the weight rows against the gradient; ``used`` counts the uses of each row."""
+    sorted_step = np.empty_like(step)
     for i in range(TABLES):
         order = np.argsort(rows[i].astype(np.uint16), kind="stable")  # a radix sort
         bucket = rows[i][order]
-        first = np.nonzero(np.diff(bucket, prepend=-1))[0]
+        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         number = np.diff(first, append=len(bucket))
         bucket = bucket[first]
         used[i, bucket] += number
-        rate = RATE / (np.sqrt(used[i, bucket]) * np.sqrt(number))
-        weights[i][bucket] -= rate[:, None] * np.add.reduceat(step[order], first)
+        rate = RATE / np.sqrt(used[i, bucket] * number)
+        # two neighbouring numbers are added up as one complex number: half the additions
+        np.take(step, order, axis=0, out=sorted_step, mode="clip")
+        sums = np.add.reduceat(sorted_step.view(np.complex64), first).view(np.float32)
+        sums *= rate.astype(np.float32)[:, None]
+        weights[i][bucket] -= sums
 
 
 def _learn(row: dict, model: Model, used: np.ndarray, part_used: np.ndarray) -> None:
-    """Gradient steps over a block's training documents: batches train the classes and the parts in turn."""
+    """Gradient steps over a block's training documents: every token trains the classes, and every token of
+    a class of many tokens the parts."""
     _, codes, lengths, classes, parts, histories = _tokens(row, model, without_itself=True)
     keep = np.nonzero(np.repeat(~row["held"], lengths))[0]
     target = classes[codes]
-    for number, at in enumerate(range(0, len(keep), BATCH)):
+    for at in range(0, len(keep), BATCH):
         some = keep[at:at + BATCH]
-        if number % 2:
-            some = some[target[some] >= 2 + HEADS]
-            if not len(some):
-                continue
+        wanted, rows = target[some], _buckets(histories[:, some])
+        step = _error(_logits(model.bias, model.weights, rows), wanted)
+        model.bias -= RATE / 10 * step.mean(axis=0)
+        _step(model.weights, used, rows, step)
+        some = some[wanted >= 2 + HEADS]
+        if len(some):
             of, wanted = target[some], parts[codes[some]]
             rows = _buckets(histories[:, some], of)
             step = _error(_logits(model.part_bias[of], model.part_weights, rows), wanted)
             _step(model.part_weights, part_used, rows, step)
-        else:
-            wanted, rows = target[some], _buckets(histories[:, some])
-            step = _error(_logits(model.bias, model.weights, rows), wanted)
-            model.bias -= RATE / 10 * step.mean(axis=0)
-            _step(model.weights, used, rows, step)
 
 
 def _score(row: dict, model: Model) -> tuple:

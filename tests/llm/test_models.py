@@ -127,6 +127,32 @@ def test_lm_scores_against_brute_force():
         assert whole + unseen + empty + missing == pytest.approx(1, abs=1e-5)
 
 
+def test_lm_every_training_token_trains_both_factors(monkeypatch):
+    texts, _, row, model, *_ = small_model()
+    monkeypatch.setattr(lm, "BATCH", 64)
+    used, part_used = np.zeros((lm.TABLES, lm.BUCKETS), np.int64), np.zeros((lm.TABLES, lm.BUCKETS), np.int64)
+    classes = lm._classes(model, row["totals"], row["hashes"], np.frombuffer(row["endings"], np.uint8), True)
+    codes, learned = lm._codes(row), np.repeat(~row["held"], row["lengths"])
+    lm._learn(row, model, used, part_used)
+    assert (used.sum(axis=1) == sum(len(t) + 1 for i, t in enumerate(texts) if i % 5)).all()
+    assert (part_used.sum(axis=1) == (classes[codes[learned]] >= 2 + lm.HEADS).sum()).all()
+
+
+def test_lm_gradient_sums_against_brute_force():
+    gen = np.random.default_rng(3)
+    rows, step = gen.integers(0, 40, (lm.TABLES, 500)).astype(np.int32), gen.normal(size=(500, lm.PARTS)).astype("f4")
+    before = gen.normal(size=(lm.TABLES, lm.BUCKETS, lm.PARTS)).astype("f4")
+    weights, used = before.copy(), np.full((lm.TABLES, lm.BUCKETS), 7, np.int64)
+    lm._step(weights, used, rows, step)
+    for i in range(lm.TABLES):
+        for bucket in range(41):
+            mine = rows[i] == bucket
+            n = int(mine.sum())
+            rate = lm.RATE / math.sqrt((7 + n) * max(n, 1))
+            assert used[i, bucket] == 7 + n
+            assert weights[i, bucket] == pytest.approx(before[i, bucket] - rate * step[mine].sum(axis=0), abs=1e-5)
+
+
 def test_lm_second_factor_learns(spark, documents):
     """Which word of a class follows depends on the word before: only the second softmax can tell."""
     rng = random.Random(2)
