@@ -55,7 +55,7 @@ def incremental_digest(collected: DataFrame, table: str, checkpoint: str,
             dedup_latest(dated, by=("run_date",))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .hint("rebalance", "run_date")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
             .partitionBy("run_date", "batch_id").parquet(table)
         )
 
@@ -124,7 +124,9 @@ def current_messages(spark: SparkSession, table: str, as_of=None,
 def compact_days(spark: SparkSession, table: str, before: str) -> list[str]:
     """Merge the batches of each day earlier than ``before`` that has several: the latest row per text.
 
-    All days are made in one job, outside the table, and then moved in, each as one folder. Until then
+    All days are made in one job, outside the table, and then moved in, each as one folder. Ranges of day
+    and text hash bring equal texts together and keep days together for writing, so texts are shuffled once; a
+    large day is split, and as each batch holds a text of a day once, no range is filled by copies. Until then
     readers use the batches, afterwards the merged folder; the batches stay for readers that have
     already begun, see ``remove_superseded``. Batches that arrive later count beside it, and a repeated
     batch that it holds is passed over. Returns the days.
@@ -133,8 +135,9 @@ def compact_days(spark: SparkSession, table: str, before: str) -> list[str]:
     if not todo:
         return []
     made = f"{table}/_compact-{uuid.uuid4().hex}"
-    rows = dedup_latest(_stored(spark, table, todo).drop("batch_id"), by=("run_date",))
-    rows.hint("rebalance", "run_date").write.partitionBy("run_date").parquet(made)
+    stored = _stored(spark, table, todo).drop("batch_id")
+    rows = dedup_latest(stored.repartitionByRange("run_date", F.xxhash64("text")), by=("run_date",))
+    rows.write.option("compression", "zstd").partitionBy("run_date").parquet(made)
     for day, ids in todo.items():
         files, source = _file_system(spark, f"{made}/run_date={day}")
         last = max(b if b >= 0 else -b - 1 for b in ids)

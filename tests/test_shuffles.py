@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import fixed as v
+from newsloom.operators.dedup import dedup_latest
 from newsloom.plans import registered
+from newsloom.streaming import incremental
 
 
 @pytest.fixture
@@ -38,3 +40,24 @@ def test_counts_of_the_run_log_are_made_once(spark, tables, monkeypatch):
     assert len(seen) == 3 and not any("Exchange" in p or "documents.parquet" in p for p in seen)
     assert {r["run_id"] for r in rows} == {"first", "second"}
     assert {(r["channel_id"], r["pulled"]) for r in rows if r["platform"] == v.TELEGRAM} >= {("src", 10)}
+
+
+def test_compaction_shuffles_texts_once(spark, messages, tmp_path, monkeypatch):
+    table, seen = str(tmp_path / "table"), []
+
+    def spy(df, **options):
+        seen.append(dedup_latest(df, **options))
+        return seen[-1]
+
+    for batch in (0, 1):
+        messages(*[(f"{batch}-{i}", f"text {i % 3}", f"2024-01-0{1 + i % 2} 00:00:{batch:02d}", "c", v.TELEGRAM) for i in range(12)]) \
+            .withColumn("run_date", F.to_date("timestamp")).withColumn("batch_id", F.lit(batch)) \
+            .write.mode("append").partitionBy("run_date", "batch_id").parquet(table)
+    expected = sorted(r["text"] for r in incremental.current_messages(spark, table).collect())
+    monkeypatch.setattr(incremental, "dedup_latest", spy)
+    assert incremental.compact_days(spark, table, "2024-02-01") == ["2024-01-01", "2024-01-02"]
+    assert plan(seen[0]).count("Exchange") == 1 and "rangepartitioning(run_date" in plan(seen[0])
+    monkeypatch.undo()
+    assert incremental.remove_superseded(spark, table, grace_seconds=0) == 4
+    assert spark.read.parquet(table).count() == 6  # three texts in each of two days
+    assert sorted(r["text"] for r in incremental.current_messages(spark, table).collect()) == expected
