@@ -1,11 +1,16 @@
 """How often a run reads, computes and shuffles what it writes."""
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import fixed as v
 from newsloom.operators.dedup import dedup_latest
 from newsloom.plans import registered
+from newsloom.schemas import DIGEST, columns
+from newsloom.sources import writers
 from newsloom.streaming import incremental
 
 
@@ -42,6 +47,23 @@ def test_counts_of_the_run_log_are_made_once(spark, tables, monkeypatch):
     assert {(r["channel_id"], r["pulled"]) for r in rows if r["platform"] == v.TELEGRAM} >= {("src", 10)}
 
 
+def test_documents_are_shuffled_once(spark, messages, tmp_path, monkeypatch):
+    def kept(*args, **kwargs):
+        raise AssertionError("the digest is written a second time")
+
+    monkeypatch.setattr(writers, "with_row_index", kept)
+    rows = messages(*[(str(i), f"text {i}", f"2024-01-01 00:00:{i:02d}", "c", v.TELEGRAM) for i in range(45)])
+    digest = rows.select("*", F.lit("0.90").cast("decimal(3,2)").alias("score"), F.array(F.lit("news")).alias("tags"))
+    writers.write_digest_documents(digest.select(*columns(DIGEST)), str(tmp_path / "d"), size=10)
+    found = [json.loads((tmp_path / "d" / f).read_text()) for f in os.listdir(tmp_path / "d") if f.startswith("part")]
+    assert max(map(len, found)) == 10 and sorted(int(r["id"]) for d in found for r in d) == list(range(45))
+    for document in found:
+        ids = [int(r["id"]) for r in document]
+        assert ids == list(range(ids[0], ids[0] - len(ids), -1))
+    writers.write_digest_documents(digest.where("false").select(*columns(DIGEST)), str(tmp_path / "none"))
+    assert not sum((tmp_path / "none" / f).stat().st_size for f in os.listdir(tmp_path / "none") if f.startswith("part"))
+
+
 def test_compaction_shuffles_texts_once(spark, messages, tmp_path, monkeypatch):
     table, seen = str(tmp_path / "table"), []
 
